@@ -55,13 +55,11 @@ def _few_values(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
 def binned(df: DataFrame, edges: dict[str, list[float]], discrete: Sequence[str],
            keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, bin) for all features; missing values are left out."""
-    wide = df.select(*keep, *edges, *discrete)
-    for i, (c, points) in enumerate(edges.items()):
-        wide = place(wide, c, points, f"__b{i}")
+    wide = place(df.select(*keep, *edges, *discrete), edges)
     entries = [F.struct(F.lit(c).alias("feature"),
-                        F.format_string("b%02d", F.col(f"__b{i}")).alias("bin"),
+                        F.format_string("b%02d", F.col(f"__p_{c}")).alias("bin"),
                         F.col(c).isNotNull().alias("seen"))
-               for i, c in enumerate(edges)]
+               for c in edges]
     entries += [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("bin"),
                          F.col(c).isNotNull().alias("seen")) for c in discrete]
     return (wide.select(*keep, F.explode(F.array(*entries)).alias("e"))

@@ -14,54 +14,73 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-DEFAULT_PIECES = 256
+SKETCH_POINTS = 64
+
+
+def default_pieces(spark: SparkSession) -> int:
+    """Twice the session's shuffle partitions, so that the pieces occupy the cluster."""
+    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _refined(points: list[float], pieces: int) -> list[float]:
+    """Insert evenly spaced points between neighbours until there are enough."""
+    steps = math.ceil(pieces / max(1, len(points)))
+    out = set(points)
+    for lo, hi in zip(points, points[1:]):
+        out.update(lo + (hi - lo) * i / steps for i in range(1, steps))
+    return sorted(x for x in out if math.isfinite(x))
 
 
 def cut_points(df: DataFrame, columns: Sequence[str],
-               pieces: int = DEFAULT_PIECES) -> dict[str, list[float]]:
-    """Strictly increasing inner cut points per column; at most ``pieces`` each.
+               pieces: int | None = None) -> dict[str, list[float]]:
+    """Strictly increasing inner cut points per column.
 
-    One column-pruned pass with a mergeable sketch. Only these few doubles reach
-    the driver.
+    One column-pruned pass with a small mergeable sketch (at most 64 points a
+    column, so that merging the sketches of very many tasks stays cheap); points in
+    between are interpolated. Only these doubles reach the driver.
     """
-    steps = [i / pieces for i in range(1, pieces)]
-    row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), steps, pieces * 4).alias(f"q{i}")
-        for i, c in enumerate(columns)]).first()
-    return {c: sorted({v for v in (row[f"q{i}"] or []) if v is not None and math.isfinite(v)})
+    pieces = pieces or default_pieces(df.sparkSession)
+    grid = min(SKETCH_POINTS, pieces)
+    steps = ", ".join(str(i / grid) for i in range(1, grid))
+    row = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).agg(
+        *[F.expr(f"percentile_approx(c{i}, array({steps}), {grid * 10})").alias(f"c{i}")
+          for i in range(len(columns))]).first()
+    return {c: _refined(sorted({v for v in (row[i] or []) if math.isfinite(v)}), pieces)
             for i, c in enumerate(columns)}
 
 
-def place(df: DataFrame, column: str, points: Sequence[float], out: str) -> DataFrame:
-    """Number of cut points <= value, by binary search in the JVM; null stays null."""
-    value = F.col(column).cast("double")
-    if not points:
-        return df.withColumn(out, F.when(value.isNotNull(), F.lit(0)))
-    found = Bucketizer(
-        splits=[-math.inf, *points, math.inf], inputCol=f"{out}__in", outputCol=f"{out}__at",
-        handleInvalid="keep").transform(df.withColumn(f"{out}__in", value))
-    return (found.withColumn(out, F.when(value.isNotNull(), F.col(f"{out}__at").cast("int")))
-            .drop(f"{out}__in", f"{out}__at"))
-
-
-def long_form(df: DataFrame, columns: Sequence[str], points: dict[str, list[float]],
-              by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, piece, value) of the numeric columns, without nulls and NaNs."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    for i, c in enumerate(columns):
-        wide = place(wide, c, points[c], f"__p{i}")
+def place(df: DataFrame, points: dict[str, Sequence[float]], prefix: str = "__p_") -> DataFrame:
+    """Adds for every column the number of its cut points <= value, found by binary
+    search in the JVM; null stays null."""
+    cut = [c for c, p in points.items() if p]
+    out = df
+    if cut:
+        out = out.select("*", *[F.col(c).cast("double").alias(f"__in_{i}")
+                                for i, c in enumerate(cut)])
+        out = Bucketizer(
+            splitsArray=[[-math.inf, *points[c], math.inf] for c in cut],
+            inputCols=[f"__in_{i}" for i in range(len(cut))],
+            outputCols=[f"__at_{i}" for i in range(len(cut))],
+            handleInvalid="keep").transform(out)
+    found = {c: F.col(f"__at_{i}").cast("int") for i, c in enumerate(cut)}
+    return out.select(*df.columns, *[
+        F.when(F.col(c).isNotNull(), found.get(c, F.lit(0))).alias(prefix + c) for c in points])
+
+
+def long_form(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
+    """(column, piece, value) of numeric columns, without nulls and NaNs."""
+    wide = place(df.select(*[F.col(c).cast("double").alias(c) for c in points]), points)
     entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__p{i}").alias("piece"),
-                 F.col(c).alias("value")) for i, c in enumerate(columns)])
-    return (wide.select(*by, F.explode(entries).alias("e"))
-            .select(*by, "e.*")
+        F.struct(F.lit(c).alias("column"), F.col(f"__p_{c}").alias("piece"),
+                 F.col(c).alias("value")) for c in points])
+    return (wide.select(F.explode(entries).alias("e")).select("e.*")
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              method: str = "disc", pieces: int = DEFAULT_PIECES) -> DataFrame:
+              method: str = "disc", pieces: int | None = None) -> DataFrame:
     """Exact quantiles of each column: rows (column, prob, value).
 
     ``disc`` is the smallest value whose cumulative share reaches the probability;
@@ -70,7 +89,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"unknown method {method!r}")
-    counts = (long_form(df, columns, cut_points(df, columns, pieces))
+    counts = (long_form(df, cut_points(df, columns, pieces))
               .groupBy("column", "piece", "value").agg(F.count(F.lit(1)).alias("n")))
 
     # piece totals: at most columns x pieces rows
@@ -115,7 +134,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                         .alias("value"))
 
 
-def medians(df: DataFrame, columns: Sequence[str], pieces: int = DEFAULT_PIECES) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact lower median of each column: rows (column, median)."""
-    return (quantiles(df, columns, [0.5], "disc", pieces)
+    return (quantiles(df, columns, [0.5], "disc")
             .select("column", F.col("value").alias("median")))

@@ -58,8 +58,13 @@ def customer_labels(spark, d) -> DataFrame:
     return ledger.one_label_per_customer(loan_labels(spark, d))
 
 
+def staged_customers(spark, d) -> DataFrame:
+    """Cleansed customers, evaluated once for the passes of fit and transform."""
+    return snapshots.stage(clean_customers(spark, d))
+
+
 def gold(spark, d) -> DataFrame:
-    customers = clean_customers(spark, d)
+    customers = staged_customers(spark, d)
     return features.apply_features(customers, features.fit_features(customers))
 
 
@@ -70,7 +75,7 @@ def gold_with_ema(spark, d) -> DataFrame:
 
 def split_labels(spark, d) -> DataFrame:
     """Customers' labels with their split, made before the wide join."""
-    return split.split_sets(customer_labels(spark, d), date=K.SNAPSHOT)
+    return split.split_sets(snapshots.stage(customer_labels(spark, d)), date=K.SNAPSHOT)
 
 
 def baseline_and_batches(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -334,7 +339,7 @@ def list_vocabulary(spark, d):
     for c in K.MEDIAN_COLUMNS))
 def medians(spark, d):
     """Exact medians of ten columns at once."""
-    return ranks.medians(clean_customers(spark, d), K.MEDIAN_COLUMNS)
+    return ranks.medians(staged_customers(spark, d), K.MEDIAN_COLUMNS)
 
 
 @query("""
@@ -429,7 +434,7 @@ def latest_per_key(spark, d):
 @query("SELECT Customer_ID, " + ", ".join(
     f"coalesce({c}, {median_sql(c)}) AS {c}" for c in K.MEDIAN_COLUMNS) + " FROM sv_customer")
 def median_impute(spark, d):
-    customers = clean_customers(spark, d)
+    customers = staged_customers(spark, d)
     return (features.impute_medians(customers, features.fit_medians(customers))
             .select(K.CUSTOMER, *K.MEDIAN_COLUMNS))
 
@@ -531,13 +536,14 @@ _SCALED = ", ".join(f"round((t.{c} - m_{c}) / s_{c}, 6) AS {c}" for c in A.EMA_C
 def standard_scale(spark, d):
     """EMAs scaled by the train split's mean and population deviation."""
     ema = panel.ema_latest(A.panel(spark, d), A.PANEL_COLUMNS)
-    rows = split_labels(spark, d).join(ema, K.CUSTOMER, "left")
+    rows = snapshots.stage(split_labels(spark, d).join(ema, K.CUSTOMER, "left"))
     scaler = matrix.fit_scaler(rows.filter(F.col("split") == "train"), A.EMA_COLUMNS)
     return rounded(matrix.scale(rows, scaler)).select(K.CUSTOMER, "split", *A.EMA_COLUMNS)
 
 
 def training_matrix(spark, d):
-    rows = joins.training_set(split_labels(spark, d), gold_with_ema(spark, d))
+    rows = snapshots.stage(
+        joins.training_set(split_labels(spark, d), gold_with_ema(spark, d)))
     state = matrix.fit_matrix(rows, fit_on=rows.filter(F.col("split") == "train"))
     return matrix.feature_matrix(rows, state, keep=[K.CUSTOMER, "label", "split"])
 

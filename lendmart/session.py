@@ -1,18 +1,14 @@
 """Sessions for tests, checks and the local bench.
 
-The library itself never sets session options: on a cluster they are the
-cluster's. Where the cluster names a checkpoint folder it is used as it is.
+The library itself sets no session options: on a cluster they are the cluster's.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-
 
 def local_session(cores: int | str = 8, **options) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("lendmart")
@@ -26,12 +22,3 @@ def local_session(cores: int | str = 8, **options) -> SparkSession:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a fresh local one only where none is set."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="lendmart-checkpoint-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named

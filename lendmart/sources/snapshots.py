@@ -7,6 +7,8 @@ size of the slice, not of the history, and a re-run cannot duplicate rows.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -97,3 +99,26 @@ def upsert_slice(existing: DataFrame, new: DataFrame, value, key: str = K.SNAPSH
 def list_slices(df: DataFrame, *columns: str) -> DataFrame:
     """The distinct slices of a table."""
     return df.select(*columns).distinct()
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the session names in spark.checkpoint.dir; a local one only
+    where none is named, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = tempfile.mkdtemp(prefix="lendmart-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a frame that several passes will read to the shared folder, and read it
+    back.
+
+    The passes then share one evaluation, a lost executor costs re-reading a file
+    rather than recomputing the lineage, column pruning still applies, and the
+    optimizer knows the real size.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/lendmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

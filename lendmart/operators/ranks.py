@@ -86,52 +86,59 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     ``disc`` is the smallest value whose cumulative share reaches the probability;
     ``cont`` interpolates linearly between the two neighbouring values. Columns
     without any value are absent.
+
+    Three column-pruned passes: cut points, row counts per piece (all that is shuffled
+    is one counter per piece), and the exact order inside the few pieces that hold a
+    wanted rank.
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"unknown method {method!r}")
-    counts = (long_form(df, cut_points(df, columns, pieces))
-              .groupBy("column", "piece", "value").agg(F.count(F.lit(1)).alias("n")))
-
-    # piece totals: at most columns x pieces rows
-    along = Window.partitionBy("column").orderBy("piece")
-    totals = (counts.groupBy("column", "piece").agg(F.sum("n").alias("n"))
-              .withColumns({
-                  "before": F.sum("n").over(along.rowsBetween(
-                      Window.unboundedPreceding, Window.currentRow)) - F.col("n"),
-                  "total": F.sum("n").over(Window.partitionBy("column"))}))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    targets = totals.withColumn("prob", wanted)
-    if method == "disc":
-        rank = F.greatest(F.ceil(F.col("prob") * F.col("total")), F.lit(1))
-        targets = targets.withColumn("rank", F.explode(F.array(rank)))
-    else:
-        h = F.col("prob") * (F.col("total") - 1)
-        targets = targets.withColumn("rank", F.explode(F.array(F.floor(h) + 1, F.ceil(h) + 1)))
-    targets = (targets
-               .filter((F.col("rank") > F.col("before"))
-                       & (F.col("rank") <= F.col("before") + F.col("n")))
-               .select("column", "piece", "prob", "total", "rank",
-                       (F.col("rank") - F.col("before")).alias("inner_rank")))
-
-    # only the pieces that hold a wanted rank are ordered; the target table has at
-    # most 2 x columns x probabilities rows, hence the broadcast
-    inside = Window.partitionBy("column", "piece").orderBy("value")
-    ordered = (counts.join(F.broadcast(targets.select("column", "piece").distinct()),
-                           ["column", "piece"], "left_semi")
-               .withColumn("upto", F.sum("n").over(inside.rowsBetween(
-                   Window.unboundedPreceding, Window.currentRow))))
-    hits = (ordered.join(F.broadcast(targets), ["column", "piece"])
-            .filter((F.col("inner_rank") <= F.col("upto"))
-                    & (F.col("inner_rank") > F.col("upto") - F.col("n"))))
-    if method == "disc":
-        return hits.select("column", "prob", "value")
-    h = F.col("prob") * (F.col("total") - 1)
-    edges = hits.groupBy("column", "prob").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.max(h - F.floor(h)).alias("part"))
-    return edges.select("column", "prob",
-                        (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part"))
-                        .alias("value"))
+    rows = long_form(df, cut_points(df, columns, pieces))
+    counts = rows.groupBy("column", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
+    targets = _wanted_ranks(counts, probs, method)
+    wanted = df.sparkSession.createDataFrame(
+        targets, "column string, piece int, prob double, part double, rank long")
+    held: dict[str, set[int]] = {}
+    for column, piece, *_ in targets:
+        held.setdefault(column, set()).add(piece)
+    is_held = F.lit(False)
+    for column, found in held.items():
+        is_held = is_held | ((F.col("column") == column) & F.col("piece").isin(sorted(found)))
+
+    inside = Window.partitionBy("column", "piece").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ordered = (rows.filter(is_held)
+               .groupBy("column", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("upto", F.sum("n").over(inside)))
+    # at most 2 x columns x probabilities targets, hence the broadcast
+    hits = (ordered.join(F.broadcast(wanted), ["column", "piece"])
+            .filter((F.col("rank") <= F.col("upto"))
+                    & (F.col("rank") > F.col("upto") - F.col("n"))))
+    lo, hi = F.min("value"), F.max("value")
+    return hits.groupBy("column", "prob").agg(
+        (lo + (hi - lo) * F.max("part")).alias("value"))
+
+
+def _wanted_ranks(counts, probs, method) -> list[tuple]:
+    """(column, piece, prob, part, rank inside the piece) of the wanted rows, from the
+    piece counts."""
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for r in sorted(counts, key=lambda r: (r["column"], r["piece"])):
+        sizes.setdefault(r["column"], []).append((r["piece"], r["n"]))
+    out = []
+    for column, ordered in sizes.items():
+        total = sum(n for _, n in ordered)
+        for p in map(float, probs):
+            at = p * (total - 1)
+            ranks = ({max(math.ceil(p * total), 1)} if method == "disc"
+                     else {math.floor(at) + 1, math.ceil(at) + 1})
+            part = at - math.floor(at) if method == "cont" else 0.0
+            before = 0
+            for piece, n in ordered:
+                out += [(column, piece, p, part, k - before) for k in sorted(ranks)
+                        if before < k <= before + n]
+                before += n
+    return out
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

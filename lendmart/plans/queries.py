@@ -6,6 +6,7 @@ result is a fitted model's.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,7 @@ from lendmart.plans.checks import (GOLD_COLUMNS, LOAN_TYPES, OCCUPATIONS, bin_sq
                                    csi_sql, flag_sql, matrix_sql, median_sql, metrics_sql,
                                    multi_hot_sql, one_hot_sql, oracle, quoted)
 from lendmart.schemas import LEDGER
+from lendmart.session import tune
 from lendmart.sources import snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +30,7 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        QUERIES[fn.__name__] = functools.wraps(fn)(lambda spark, d: fn(tune(spark), d))
         if sql is not None:
             ORACLES[fn.__name__] = oracle(sql)
         return fn

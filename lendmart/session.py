@@ -1,6 +1,6 @@
 """Sessions for tests, checks and the local bench.
 
-The library itself sets no session options: on a cluster they are the cluster's.
+The library leaves the session's options to the cluster, but for one: ``tune``.
 """
 
 from __future__ import annotations
@@ -10,6 +10,22 @@ import os
 from pyspark.sql import SparkSession
 
 
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Let wide projections run with split methods.
+
+    The cleansing and encoding projections have so many columns that whole-stage
+    code puts them into one method the JIT refuses to compile (over 8000 bytes of
+    bytecode), several times slower than the split methods Spark falls back to above
+    this limit. A limit somebody has set is left alone.
+    """
+    if spark.conf.get(HUGE_METHOD) == "65535":
+        spark.conf.set(HUGE_METHOD, "8000")
+    return spark
+
+
 def local_session(cores: int | str = 8, **options) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("lendmart")
                .config("spark.ui.enabled", "false")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendmart import constants as K
 from lendmart.functions import clean as C, encode as E
 from lendmart.operators import (cleansing, drift, features, joins, ledger, matrix, metrics,
-                                monitor, panel, ranks, split, stats)
+                                model, monitor, panel, ranks, score, split, stats)
 from lendmart.plans import adapters as A
 from lendmart.plans.checks import (GOLD_COLUMNS, LOAN_TYPES, OCCUPATIONS, bin_sql, codes_sql,
                                    csi_sql, flag_sql, matrix_sql, median_sql, metrics_sql,
@@ -543,16 +543,17 @@ def standard_scale(spark, d):
     return rounded(matrix.scale(rows, scaler)).select(K.CUSTOMER, "split", *A.EMA_COLUMNS)
 
 
-def training_matrix(spark, d):
-    rows = snapshots.stage(
-        joins.training_set(split_labels(spark, d), gold_with_ema(spark, d)))
+def training_matrix(spark, d, feature_table=None) -> tuple[DataFrame, matrix.MatrixState]:
+    rows = snapshots.stage(joins.training_set(
+        split_labels(spark, d),
+        feature_table if feature_table is not None else gold_with_ema(spark, d)))
     state = matrix.fit_matrix(rows, fit_on=rows.filter(F.col("split") == "train"))
-    return matrix.feature_matrix(rows, state, keep=[K.CUSTOMER, "label", "split"])
+    return matrix.feature_matrix(rows, state, keep=[K.CUSTOMER, "label", "split"]), state
 
 
 @query(matrix_sql("tr_set"))
 def feature_matrix(spark, d):
-    return rounded(training_matrix(spark, d))
+    return rounded(training_matrix(spark, d)[0])
 
 
 # --- metrics ---------------------------------------------------------------------
@@ -743,3 +744,40 @@ def maturity_timeline(spark, d):
     return (monitor.maturity_timeline(performance(spark, d), F.lit(span["first"]),
                                       F.lit(span["last"]))
             .select("month", "inference_date", "model_label", "gini", "recall"))
+
+
+# --- models: fitted, hence without SQL ------------------------------------------------
+
+_LR_DRAWS = model.draws("lr", n=2)
+_GBT_DRAWS = [{"maxIter": 10, "maxDepth": 2, "stepSize": 0.1, "subsamplingRate": 0.8,
+               "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5}]
+
+
+@query()
+def model_evaluation(spark, d):
+    """Both kinds of model searched, calibrated and evaluated on every split."""
+    rows, state = training_matrix(spark, d)
+    data = snapshots.stage(rows)
+    trained = [model.train(data, state.names, "lr", _LR_DRAWS),
+               model.train(data, state.names, "gbt", _GBT_DRAWS)]
+    first, second = (model.evaluate(t, data) for t in trained)
+    return first.unionByName(second)
+
+
+@query()
+def model_importances(spark, d):
+    """Top ten features of the tree model."""
+    rows, state = training_matrix(spark, d)
+    fitted = model.train(snapshots.stage(rows), state.names, "gbt", _GBT_DRAWS)
+    return monitor.top_features(model.importances(spark, fitted))
+
+
+@query()
+def score_batch(spark, d):
+    """Every customer scored by a logistic regression fitted on the labelled ones."""
+    table = snapshots.stage(gold_with_ema(spark, d))
+    rows, state = training_matrix(spark, d, table)
+    fitted = model.train(snapshots.stage(rows), state.names, "lr", _LR_DRAWS[:1])
+    top = monitor.top_features(model.importances(spark, fitted)).collect()
+    return score.score(table, fitted.model, state, fitted.threshold, "credit_model_2023_12_01",
+                       "production", "2024-01-01", [state.source_of(r["feature"]) for r in top])

@@ -19,14 +19,13 @@ from lendmart import constants as K
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Raw CSV with a header and doubled quotes, under an explicit schema.
+    """Raw CSV with a header and doubled quotes, as the schema's columns by name.
 
-    The schema is laid over the columns by position, so the header is checked
-    against it.
+    All columns are read as text (no inference pass over the data) and cast leniently
+    to the declared types; a column the header lacks is an error.
     """
-    return (spark.read.schema(schema)
-            .options(header=True, quote='"', escape='"', enforceSchema=False, mode="PERMISSIVE")
-            .csv(path))
+    raw = spark.read.options(header=True, quote='"', escape='"').csv(path)
+    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def snapshot_of(df: DataFrame, snapshot_date, column: str = K.SNAPSHOT) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from lendmart import constants as K
-from lendmart.operators.ranks import place, quantiles
+from lendmart.operators.ranks import place, quantiles, sketch
 
 
 def _floored(share: Column) -> Column:
@@ -39,17 +39,23 @@ class DriftBaseline:
                              self.table.filter(F.col("feature").isin(list(features))))
 
 
-def _few_values(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
-    """Numeric columns with at most ``limit`` distinct values, counted exactly."""
-    if not columns:
+def _few_values(df: DataFrame, points: dict[str, list[float]], limit: int) -> set[str]:
+    """Numeric columns with at most ``limit`` distinct values.
+
+    A sketch that shows more distinct values settles it, as all of them occur in the
+    data. Only the other columns are counted, exactly; their rows concentrate on few
+    values, so little is left to shuffle after the partial distinct.
+    """
+    unsure = [c for c, found in points.items() if len(found) <= limit]
+    if not unsure:
         return set()
     entries = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-        for c in columns]))
+        for c in unsure]))
     found = (df.select(entries.alias("e")).select("e.*").filter("value is not null").distinct()
              .groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect())
-    few = {r["feature"]: r["n"] for r in found}
-    return {c for c in columns if few.get(c, 0) <= limit}
+    counts = {r["feature"]: r["n"] for r in found}
+    return {c for c in unsure if counts.get(c, 0) <= limit}
 
 
 def binned(df: DataFrame, edges: dict[str, list[float]], discrete: Sequence[str],
@@ -90,14 +96,16 @@ def fit_drift_baseline(df: DataFrame, columns: Sequence[str],
     """
     numeric = [f.name for f in df.schema
                if f.name in columns and isinstance(f.dataType, NumericType)]
-    few = _few_values(df, numeric, bins)
+    points = sketch(df, numeric) if numeric else {}
+    few = _few_values(df, points, bins)
     continuous = [c for c in columns if c in numeric and c not in few]
     discrete = [c for c in columns if c not in continuous]
     edges: dict[str, list[float]] = {}
     if continuous:
         probs = [i / bins for i in range(bins + 1)]
         found: dict[str, set[float]] = {c: set() for c in continuous}
-        for r in quantiles(df, continuous, probs, "cont").collect():
+        at = {c: points[c] for c in continuous}
+        for r in quantiles(df, continuous, probs, "cont", at).collect():
             found[r["column"]].add(r["value"])
         edges = {c: sorted(found[c])[1:-1] for c in continuous}
     table = _bin_shares(df, edges, discrete).filter("bin is not null")

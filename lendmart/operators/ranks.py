@@ -17,6 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SKETCH_POINTS = 64
+MAX_QUANTILE_PIECES = 1024
 
 
 def default_pieces(spark: SparkSession) -> int:
@@ -33,24 +34,31 @@ def _refined(points: list[float], pieces: int) -> list[float]:
     return sorted(x for x in out if math.isfinite(x))
 
 
-def cut_points(df: DataFrame, columns: Sequence[str],
-               pieces: int | None = None) -> dict[str, list[float]]:
-    """Strictly increasing inner cut points per column.
+def sketch(df: DataFrame, columns: Sequence[str],
+           grid: int = SKETCH_POINTS) -> dict[str, list[float]]:
+    """Approximate quantiles of each column as sorted distinct values; every one of
+    them occurs in the data.
 
-    One column-pruned pass with a small mergeable sketch (at most 64 points a
-    column, so that merging the sketches of very many tasks stays cheap); points in
-    between are interpolated. Only these doubles reach the driver.
+    One column-pruned pass; the sketches are small (``grid`` points at a tenth of
+    their spacing), so merging those of very many tasks stays cheap.
     """
-    pieces = pieces or default_pieces(df.sparkSession)
-    grid = min(SKETCH_POINTS, pieces)
     steps = ", ".join(str(i / grid) for i in range(1, grid))
     row = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).agg(
         *[F.expr(f"percentile_approx(c{i}, array({steps}), {grid * 10})").alias(f"c{i}")
           for i in range(len(columns))]).first()
-    return {c: _refined(sorted({v for v in (row[i] or []) if math.isfinite(v)}), pieces)
+    return {c: sorted({v for v in (row[i] or []) if math.isfinite(v)})
             for i, c in enumerate(columns)}
 
 
+def cut_points(df: DataFrame, columns: Sequence[str],
+               pieces: int | None = None) -> dict[str, list[float]]:
+    """Strictly increasing inner cut points per column: a sketch's quantiles with
+    interpolated points in between. Only these doubles reach the driver."""
+    pieces = pieces or default_pieces(df.sparkSession)
+    found = sketch(df, columns, min(SKETCH_POINTS, pieces))
+    return {c: _refined(points, pieces) for c, points in found.items()}
+
+
 def place(df: DataFrame, points: dict[str, Sequence[float]], prefix: str = "__p_") -> DataFrame:
     """Adds for every column the number of its cut points <= value, found by binary
     search in the JVM; null stays null."""
@@ -80,7 +88,7 @@ def long_form(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              method: str = "disc", pieces: int | None = None) -> DataFrame:
+              method: str = "disc", points: dict[str, list[float]] | None = None) -> DataFrame:
     """Exact quantiles of each column: rows (column, prob, value).
 
     ``disc`` is the smallest value whose cumulative share reaches the probability;
@@ -89,11 +97,13 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
 
     Three column-pruned passes: cut points, row counts per piece (all that is shuffled
     is one counter per piece), and the exact order inside the few pieces that hold a
-    wanted rank.
+    wanted rank. ``points`` are cut points, where they are known already.
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"unknown method {method!r}")
-    rows = long_form(df, cut_points(df, columns, pieces))
+    if points is None:
+        points = cut_points(df, columns, min(MAX_QUANTILE_PIECES, default_pieces(df.sparkSession)))
+    rows = long_form(df, points)
     counts = rows.groupBy("column", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
     targets = _wanted_ranks(counts, probs, method)
     wanted = df.sparkSession.createDataFrame(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from lendmart import constants as K
 from lendmart.functions.encode import hash32
 
 _PIECE_BITS = 16
+MAX_LABELS = 1000
 
 
 def oot_split(df: DataFrame, date: str = "label_date", k: int = K.OOT_MONTHS) -> DataFrame:
@@ -21,6 +23,57 @@ def oot_split(df: DataFrame, date: str = "label_date", k: int = K.OOT_MONTHS) ->
             .withColumn("is_oot", F.col("__month").isNotNull()).drop("__month"))
 
 
+def quota_cuts(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
+               seed: int = K.SPLIT_SEED, percent: dict[str, int] | None = None) -> dict:
+    """Where each quota ends: label -> [(hash, key) of the last key of each split but
+    the last], None for an empty split.
+
+    Two narrow passes over (label, key): rows per label and hash piece, then the exact
+    order of the keys inside the few pieces in which a quota ends. Neither a label nor
+    a key that holds most of the rows is ever collected in one task.
+    """
+    shares = list((percent or K.SPLIT_PERCENT).values())[:-1]
+    ids = df.filter(F.col(label).isNotNull()).select(
+        F.col(label).alias("l"), F.col(key).alias("k"), hash32(F.col(key), seed).alias("h"))
+    placed = ids.withColumn("piece", F.shiftright("h", 32 - _PIECE_BITS))
+
+    # at most 2^16 rows per label
+    along = Window.partitionBy("l").orderBy("piece").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    totals = (placed.groupBy("l", "piece").agg(F.count(F.lit(1)).alias("n"))
+              .withColumns({"upto": F.sum("n").over(along),
+                            "total": F.sum("n").over(Window.partitionBy("l"))}))
+    ends, running = [], F.lit(0)
+    for i, p in enumerate(shares):
+        running = running + F.floor(F.col("total") * p / 100)
+        ends.append(F.struct(F.lit(i).alias("cut"), running.alias("end")))
+    found = (totals.withColumn("e", F.explode(F.array(*ends)))
+             .filter((F.col("e.end") > F.col("upto") - F.col("n"))
+                     & (F.col("e.end") <= F.col("upto")))
+             .select("l", "piece", F.col("e.cut").alias("cut"),
+                     (F.col("e.end") - F.col("upto") + F.col("n")).alias("inner_end"))
+             .limit(MAX_LABELS * len(shares) + 1).collect())
+    if len(found) > MAX_LABELS * len(shares):
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    # the limit above bounds the targets, hence the broadcast
+    targets = F.broadcast(df.sparkSession.createDataFrame(
+        found, ids.select("l").schema.add("piece", LongType()).add("cut", IntegerType())
+        .add("inner_end", LongType())))
+
+    inside = Window.partitionBy("l", "piece").orderBy("h", "k").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ordered = (placed.filter(F.col("piece").isin(sorted({r["piece"] for r in found})))
+               .groupBy("l", "piece", "h", "k").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("upto", F.sum("n").over(inside)))
+    hits = (ordered.join(targets, ["l", "piece"])
+            .filter((F.col("inner_end") <= F.col("upto"))
+                    & (F.col("inner_end") > F.col("upto") - F.col("n"))))
+    out = {}
+    for r in hits.select("l", "cut", "h", "k").collect():
+        out.setdefault(r["l"], [None] * len(shares))[r["cut"]] = (r["h"], r["k"])
+    return out
+
+
 def stratified_split(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
                      seed: int = K.SPLIT_SEED, percent: dict[str, int] | None = None,
                      out: str = "split") -> DataFrame:
@@ -28,54 +81,20 @@ def stratified_split(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
 
     Keys are ordered by (hash, key). Of n rows of a label the first
     floor(n * percent / 100) go to the first split, and so on; the last split takes
-    the rest. The rows themselves are never ranked or shuffled: two narrow passes
-    over (label, key) find the key at which each quota ends, and every row compares
-    itself with these few cuts. All rows of one key land in the same split.
+    the rest. The rows themselves are neither ranked nor shuffled nor joined: each
+    compares itself with the cuts, which are literals. All rows of one key and label
+    land in the same split.
     """
-    percent = percent or K.SPLIT_PERCENT
-    names = list(percent)
-    ids = df.select(F.col(label).alias("__l"), F.col(key).alias("__key"),
-                    hash32(F.col(key), seed).alias("__h"))
-    placed = ids.withColumn("__piece", F.shiftright("__h", 32 - _PIECE_BITS))
-
-    # at most 2^16 rows per label
-    along = Window.partitionBy("__l").orderBy("__piece")
-    totals = (placed.groupBy("__l", "__piece").agg(F.count(F.lit(1)).alias("__n"))
-              .withColumns({
-                  "__upto": F.sum("__n").over(along.rowsBetween(
-                      Window.unboundedPreceding, Window.currentRow)),
-                  "__total": F.sum("__n").over(Window.partitionBy("__l"))}))
-    quotas, ends = [F.floor(F.col("__total") * p / 100) for p in list(percent.values())[:-1]], []
-    for i in range(len(quotas)):
-        ends.append(F.struct(F.lit(i).alias("cut"), sum(quotas[1:i + 1], quotas[0]).alias("end")))
-    targets = (totals.withColumn("e", F.explode(F.array(*ends)))
-               .filter((F.col("e.end") > F.col("__upto") - F.col("__n"))
-                       & (F.col("e.end") <= F.col("__upto")))
-               .select("__l", "__piece", F.col("e.cut").alias("cut"),
-                       (F.col("e.end") - F.col("__upto") + F.col("__n")).alias("inner_end")))
-
-    # order the keys of the few pieces in which a quota ends; targets and cuts have
-    # at most one row per label and quota
-    inside = Window.partitionBy("__l", "__piece").orderBy("__h", "__key")
-    keys = (placed.join(F.broadcast(targets.select("__l", "__piece").distinct()),
-                        ["__l", "__piece"], "left_semi")
-            .groupBy("__l", "__piece", "__h", "__key").agg(F.count(F.lit(1)).alias("__n"))
-            .withColumn("__upto", F.sum("__n").over(inside.rowsBetween(
-                Window.unboundedPreceding, Window.currentRow))))
-    cuts = (keys.join(F.broadcast(targets), ["__l", "__piece"])
-            .filter((F.col("inner_end") <= F.col("__upto"))
-                    & (F.col("inner_end") > F.col("__upto") - F.col("__n")))
-            .groupBy("__l").agg(*[
-                F.max(F.when(F.col("cut") == i, F.struct("__h", "__key"))).alias(f"__cut{i}")
-                for i in range(len(ends))]))
-
-    here = F.struct(hash32(F.col(key), seed).alias("__h"), F.col(key).alias("__key"))
-    choice = F
-    for i, name in enumerate(names[:-1]):
-        choice = choice.when(here <= F.col(f"__cut{i}"), F.lit(name))
-    joined = df.join(F.broadcast(cuts), df[label] == cuts["__l"], "left")
-    return joined.withColumn(out, choice.otherwise(F.lit(names[-1]))).drop(
-        "__l", *[f"__cut{i}" for i in range(len(ends))])
+    names = list(percent or K.SPLIT_PERCENT)
+    cuts = quota_cuts(df, key, label, seed, percent)
+    h, k = hash32(F.col(key), seed), F.col(key)
+    choice = F.when(F.lit(False), F.lit(names[-1]))
+    for value, ends in sorted(cuts.items()):
+        for name, end in zip(names, ends):
+            if end is not None:
+                upto = (h < end[0]) | ((h == end[0]) & (k <= F.lit(end[1])))
+                choice = choice.when((F.col(label) == value) & upto, F.lit(name))
+    return df.withColumn(out, choice.otherwise(F.lit(names[-1])))
 
 
 def split_sets(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",

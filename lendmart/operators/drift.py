@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 
 from lendmart import constants as K
 from lendmart.operators.ranks import place, quantiles, sketch
+from lendmart.sources.snapshots import small_table
 
 
 def _floored(share: Column) -> Column:
@@ -63,7 +64,7 @@ def binned(df: DataFrame, edges: dict[str, list[float]], discrete: Sequence[str]
     """(keep..., feature, bin) for all features; missing values are left out."""
     wide = place(df.select(*keep, *edges, *discrete), edges)
     entries = [F.struct(F.lit(c).alias("feature"),
-                        F.format_string("b%02d", F.col(f"__p_{c}")).alias("bin"),
+                        F.col(f"__p_{c}").cast("string").alias("bin"),
                         F.col(c).isNotNull().alias("seen"))
                for c in edges]
     entries += [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("bin"),
@@ -111,8 +112,8 @@ def fit_drift_baseline(df: DataFrame, columns: Sequence[str],
     table = _bin_shares(df, edges, discrete).filter("bin is not null")
     # a decile bin without training rows still belongs to the expected side
     if edges:
-        grid = df.sparkSession.createDataFrame(
-            [(c, f"b{i:02d}") for c, e in edges.items() for i in range(len(e) + 1)],
+        grid = small_table(
+            df.sparkSession, [(c, str(i)) for c, e in edges.items() for i in range(len(e) + 1)],
             "feature string, bin string")
         table = (table.join(F.broadcast(grid), ["feature", "bin"], "full")
                  .withColumn("share", F.coalesce("share", F.lit(0.0))))

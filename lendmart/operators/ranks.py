@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from lendmart.sources.snapshots import small_table
+
 SKETCH_POINTS = 64
 MAX_QUANTILE_PIECES = 1024
 
@@ -106,8 +108,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     rows = long_form(df, points)
     counts = rows.groupBy("column", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
     targets = _wanted_ranks(counts, probs, method)
-    wanted = df.sparkSession.createDataFrame(
-        targets, "column string, piece int, prob double, part double, rank long")
+    wanted = small_table(
+        df.sparkSession, targets, "column string, piece int, prob double, part double, rank long")
     held: dict[str, set[int]] = {}
     for column, piece, *_ in targets:
         held.setdefault(column, set()).add(piece)

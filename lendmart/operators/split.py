@@ -7,6 +7,7 @@ from pyspark.sql.types import IntegerType, LongType
 
 from lendmart import constants as K
 from lendmart.functions.encode import hash32
+from lendmart.sources.snapshots import small_table
 
 _PIECE_BITS = 16
 MAX_LABELS = 1000
@@ -56,8 +57,8 @@ def quota_cuts(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
     if len(found) > MAX_LABELS * len(shares):
         raise ValueError(f"more than {MAX_LABELS} labels")
     # the limit above bounds the targets, hence the broadcast
-    targets = F.broadcast(df.sparkSession.createDataFrame(
-        found, ids.select("l").schema.add("piece", LongType()).add("cut", IntegerType())
+    targets = F.broadcast(small_table(
+        df.sparkSession, found, ids.select("l").schema.add("piece", LongType()).add("cut", IntegerType())
         .add("inner_end", LongType())))
 
     inside = Window.partitionBy("l", "piece").orderBy("h", "k").rowsBetween(
@@ -87,14 +88,15 @@ def stratified_split(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
     """
     names = list(percent or K.SPLIT_PERCENT)
     cuts = quota_cuts(df, key, label, seed, percent)
-    h, k = hash32(F.col(key), seed), F.col(key)
+    h, k = F.col("__h"), F.col(key)
     choice = F.when(F.lit(False), F.lit(names[-1]))
     for value, ends in sorted(cuts.items()):
         for name, end in zip(names, ends):
             if end is not None:
                 upto = (h < end[0]) | ((h == end[0]) & (k <= F.lit(end[1])))
                 choice = choice.when((F.col(label) == value) & upto, F.lit(name))
-    return df.withColumn(out, choice.otherwise(F.lit(names[-1])))
+    hashed = df.withColumn("__h", hash32(F.col(key), seed))
+    return hashed.withColumn(out, choice.otherwise(F.lit(names[-1]))).drop("__h")
 
 
 def split_sets(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",

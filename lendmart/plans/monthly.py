@@ -161,8 +161,8 @@ def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None =
     best.model.write().overwrite().save(mart.path(f"models/{version}"))
     state.to_frame(spark).write.mode("overwrite").parquet(mart.path(f"models/{version}_matrix"))
     top = [r["feature"] for r in monitor.top_features(M.importances(spark, best)).collect()]
-    mart.write(spark.createDataFrame(
-        [(version, best.kind, float(best.threshold), top, str(best.params))],
+    mart.write(tables.small_table(
+        spark, [(version, best.kind, float(best.threshold), top, str(best.params))],
         "model_version string, kind string, threshold double, top array<string>, params string")
         .withColumn("trained", trained_on), "registry/models", ["trained"])
     save_baseline(mart, version, rows, data, state, best, top)
@@ -179,14 +179,14 @@ def save_baseline(mart: Mart, version: str, rows: DataFrame, data: DataFrame,
     scored = M.predict(best.model, data.filter(is_train), ["label"]).withColumn(
         "prediction", (F.col("score") >= best.threshold).cast("int"))
     s0, s1 = drift.label_shares(scored)
-    spark.createDataFrame([(s0, s1)], "share_0 double, share_1 double").write.mode(
+    tables.small_table(spark, [(s0, s1)], "share_0 double, share_1 double").write.mode(
         "overwrite").parquet(mart.path(f"models/{version}_label_mix"))
     columns = list(dict.fromkeys(state.source_of(f) for f in top))
     base = drift.fit_drift_baseline(
         matrix.scale(rows.filter(is_train), state.scales), columns)
     base.table.write.mode("overwrite").parquet(mart.path(f"models/{version}_shares"))
-    spark.createDataFrame(
-        [(c, base.edges.get(c), i) for i, c in enumerate(base.features)],
+    tables.small_table(
+        spark, [(c, base.edges.get(c), i) for i, c in enumerate(base.features)],
         "feature string, edges array<double>, pos int").write.mode("overwrite").parquet(
             mart.path(f"models/{version}_edges"))
 

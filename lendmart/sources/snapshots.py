@@ -11,8 +11,10 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from lendmart import constants as K
@@ -100,6 +102,16 @@ def list_slices(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
+    """A few driver values as a table. Handed over as Arrow, it becomes a local relation
+    of known size; no Python worker is started for it."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [()] * len(kind)
+    arrow = pa.table({f.name: pa.array(list(values), to_arrow_type(f.dataType))
+                      for f, values in zip(kind, columns)})
+    return spark.createDataFrame(arrow, schema=kind)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the session names in spark.checkpoint.dir; a local one only
     where none is named, as in tests."""

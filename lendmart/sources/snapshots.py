@@ -7,6 +7,7 @@ size of the slice, not of the history, and a re-run cannot duplicate rows.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -112,14 +113,17 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType |
     return spark.createDataFrame(arrow, schema=kind)
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="lendmart-")
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names in spark.checkpoint.dir; a local one only
-    where none is named, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="lendmart-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    """The shared folder the session names in spark.checkpoint.dir, or the one its
+    context was given; a local one only where neither is set, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir()
+            or _own_folder(spark.sparkContext.applicationId))
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Seven months from raw files to monitor tables."""
+"""Five months from raw files to monitor tables."""
 
 import datetime
 

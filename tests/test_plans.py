@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmart.operators import joins, ledger, panel
 from lendmart.plans import adapters as A
-from lendmart.plans.queries import QUERIES
+from lendmart.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 NARROW = ["clean_numeric", "range_guard", "regex_conform", "sentinel_clean", "money_round",
@@ -33,7 +33,7 @@ def details_of(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("model_", "score_b"))])
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_no_python_and_no_cross_join(spark, name):
     plan = query_plan(spark, name)
     assert not re.search(r"EvalPython|MapInPandas|FlatMapGroups|MapInArrow", plan)
@@ -45,8 +45,7 @@ def test_cleansing_needs_no_shuffle(spark, name):
     assert "Exchange" not in query_plan(spark, name)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in FEW_ROWS
-                                  and not n.startswith(("model_", "score_b"))])
+@pytest.mark.parametrize("name", [n for n in ORACLES if n not in FEW_ROWS])
 def test_single_task_exchanges_carry_partial_results_only(spark, name):
     """One task may merge one row per map task, or the k rows of a top-k."""
     lines = query_plan(spark, name).split("\n")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendmart import constants as K
-from lendmart.operators import drift, metrics, panel, ranks, split
+from lendmart.operators import drift, metrics, monitor, panel, ranks, split
 from lendmart.sources.snapshots import stage
 
 
@@ -286,3 +286,19 @@ def test_staged_tables_read_back(spark):
     staged = stage(df)
     assert staged.schema.simpleString() == df.schema.simpleString()
     assert staged.exceptAll(df).isEmpty() and staged.count() == 10
+
+
+def test_wide_csi_has_one_column_per_feature(spark):
+    long = spark.createDataFrame([("m1", "a", 0.1), ("m1", "b", 0.2), ("m2", "a", 0.3)],
+                                 "inference_date string, feature string, csi double")
+    got = {r["inference_date"]: (r["a"], r["b"])
+           for r in monitor.wide_csi(long, ["a", "b"]).collect()}
+    assert got == {"m1": (0.1, 0.2), "m2": (0.3, None)}
+
+
+def test_status_bands(spark):
+    df = spark.createDataFrame([(0.7, 0.05), (0.62, 0.2), (0.1, 0.25), (None, None)],
+                               "gini double, psi double")
+    got = monitor.with_status(monitor.with_status(df, "gini"), "psi").collect()
+    assert [(r["gini_status"], r["psi_status"]) for r in got] == [
+        ("green", "green"), ("yellow", "yellow"), ("red", "red"), (None, None)]

@@ -70,3 +70,21 @@ def test_csv_with_doubled_quotes_is_read_by_name(spark, tmp_path):
     path.write_text("Customer_ID\nc1\n")
     with pytest.raises(AnalysisException):
         S.read_csv(spark, str(path), schemas.ATTRIBUTES_RAW)
+
+
+def test_stage_folder_is_the_cluster_s_where_it_names_one():
+    class Context:
+        applicationId = "app-1"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, named):
+            self.conf = {"spark.checkpoint.dir": named} if named else {}
+
+    assert S.checkpoint_folder(Session("s3a://shared/x")) == "s3a://shared/x"
+    own = S.checkpoint_folder(Session(None))
+    assert own == S.checkpoint_folder(Session(None)) and "lendmart-" in own

@@ -85,7 +85,8 @@ def _running(numbers: Column) -> Column:
         F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / _BLOCK).cast("int")),
         lambda b: F.slice(numbers, b * _BLOCK + 1, F.lit(_BLOCK)))
     inner = F.transform(blocks, _sums)
-    before = _sums(F.transform(inner, lambda s: F.element_at(s, -1)))
+    before = F.slice(_sums(F.transform(inner, lambda s: F.element_at(s, -1))), F.lit(1),
+                     F.size(inner))
     return F.flatten(F.zip_with(inner, before, lambda s, add: F.transform(
         F.slice(s, F.lit(2), F.greatest(F.size(s) - 1, F.lit(0))), lambda x: x + add)))
 
@@ -221,8 +222,11 @@ def extract(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def op4_bootstrapped_contexts(spark, sf_dir: str) -> DataFrame:
     out = extract(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, at=at: s["kind"] == at)).cast("long")
-              .alias(f"n_{kind}") for at, kind in enumerate(KINDS)]
-    return out.select(F.col("d").alias("doc_id"), *counts,
+
+    def count(at):
+        return F.size(F.filter("base", lambda s: s["kind"] == at)).cast("long")
+
+    return out.select(F.col("d").alias("doc_id"),
+                      *[count(at).alias(f"n_{kind}") for at, kind in enumerate(KINDS)],
                       F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
                       _written(F.col("spans")).alias("spans"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from lendmart.llm.chat import op7_content_parts
 from lendmart.llm.decontaminate import op9_winnowing
 from lendmart.llm.langid import op5_mixture
+from lendmart.llm.lines import op1_log_templates
+from lendmart.llm.lm import op2_deleted_interpolation
 from lendmart.llm.packing import op3_least_squares
 from lendmart.llm.pii import op4_bootstrapped_contexts
 from lendmart.llm.sharding import op10_histogram_sort
 from lendmart.llm.topk import op8_histogram_selection
 
 QUERIES = {f.__name__: f for f in (
-    op3_least_squares, op4_bootstrapped_contexts, op5_mixture, op7_content_parts,
-    op8_histogram_selection, op9_winnowing, op10_histogram_sort)}
+    op1_log_templates, op2_deleted_interpolation, op3_least_squares,
+    op4_bootstrapped_contexts, op5_mixture, op7_content_parts, op8_histogram_selection, op9_winnowing, op10_histogram_sort)}
 ORACLES: dict[str, str] = {}

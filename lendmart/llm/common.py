@@ -7,6 +7,8 @@ same document to it and get the same answer.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,3 +61,10 @@ def unpacked(rows: DataFrame, names: list[str], **computed: Column) -> DataFrame
 
 def same_key(left: DataFrame, right: DataFrame) -> Column:
     return (left["t"] == right["t"]) & left["d"].eqNullSafe(right["d"])
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are no longer referenced, which
+    it does when the driver collects its garbage. Called between an operator's phases."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

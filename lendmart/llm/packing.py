@@ -244,7 +244,7 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, closing: int = CLOSING,
                                "doc_tokens long, sequence_id long, offset long")
 
 
-def _digest(packed: DataFrame) -> DataFrame:
+def digest(packed: DataFrame) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
@@ -256,4 +256,4 @@ def vocabulary_path() -> str:
 
 
 def op3_least_squares(spark, sf_dir: str) -> DataFrame:
-    return _digest(pack(table(spark, sf_dir, "documents"), vocabulary_path()))
+    return digest(pack(table(spark, sf_dir, "documents"), vocabulary_path()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lendmart.llm.chat import op7_content_parts
 from lendmart.llm.decontaminate import op9_winnowing
+from lendmart.llm.jaccard import op6_metric_join
 from lendmart.llm.langid import op5_mixture
 from lendmart.llm.lines import op1_log_templates
 from lendmart.llm.lm import op2_deleted_interpolation
@@ -14,5 +15,6 @@ from lendmart.llm.topk import op8_histogram_selection
 
 QUERIES = {f.__name__: f for f in (
     op1_log_templates, op2_deleted_interpolation, op3_least_squares,
-    op4_bootstrapped_contexts, op5_mixture, op7_content_parts, op8_histogram_selection, op9_winnowing, op10_histogram_sort)}
+    op4_bootstrapped_contexts, op5_mixture, op6_metric_join, op7_content_parts,
+    op8_histogram_selection, op9_winnowing, op10_histogram_sort)}
 ORACLES: dict[str, str] = {}

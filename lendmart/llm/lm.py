@@ -25,12 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lendmart.llm.blobs import mix, pack, pack_sorted, unpack, unpack_sorted
-from lendmart.llm.common import remainder, table, whole
+from lendmart.llm.common import release, remainder, table, whole
 from lendmart.sources.snapshots import stage
 
 ORDER = 2
-CHUNK_TOKENS = 4_000_000
-RANGE_GRAMS = 2_000_000   # n-grams a range of hashes adds up, about
+CHUNK_TOKENS = 2_000_000
+RANGE_GRAMS = 1_000_000   # n-grams a range of hashes adds up, about
 BUCKETS, STEPS = 24, 12
 KEPT, DELETED, HELD_OUT = 0, 1, 2
 NO_ID = 4                 # added to the fold of a row without an id
@@ -198,17 +198,18 @@ def _bucket(context: np.ndarray) -> np.ndarray:
 
 
 def _levels(counts: list[np.ndarray], contexts: list[np.ndarray], weights: np.ndarray,
-            uniform: float):
-    """Probability after each order, from the uniform share up, with estimates, weights
-    and buckets."""
-    p, steps = np.full(len(counts[0]), uniform), []
+            uniform: float, steps: list | None = None) -> np.ndarray:
+    """Probability, from the uniform share up. ``steps`` gets each order's estimates,
+    weights, buckets, usable places and the probability below it."""
+    p = np.full(len(counts[0]), uniform)
     for k, (n, context) in enumerate(zip(counts, contexts)):
         bucket = _bucket(context)
         own = n / np.maximum(context, 1)
         a = np.where(context > 0, weights[k, bucket], 0.0)
-        steps.append((own, a, bucket, context > 0, p))
+        if steps is not None:
+            steps.append((own, a, bucket, context > 0, p))
         p = a * own + (1 - a) * p
-    return p, steps
+    return p
 
 
 def _expectation(order: int, weights: np.ndarray, kept: int, uniform: float):
@@ -222,7 +223,8 @@ def _expectation(order: int, weights: np.ndarray, kept: int, uniform: float):
                 contexts = [np.full(len(counts[0]), float(kept))] + [
                     unpack(getattr(row, f"y{k}"), np.uint32).astype(float)
                     for k in range(2, order + 1)]
-                p, steps = _levels(counts, contexts, weights, uniform)
+                steps = []
+                p = _levels(counts, contexts, weights, uniform, steps)
                 reach = np.ones(len(p))  # posterior of using this order or a shorter one
                 for k in reversed(range(order)):
                     own, a, bucket, usable, below = steps[k]
@@ -266,7 +268,7 @@ def _scored(order: int, weights: np.ndarray, tokens: int, types: int):
                 contexts = [np.full(len(counts[0]), float(tokens))] + [
                     unpack(getattr(row, f"x{k}"), np.uint32).astype(float)
                     for k in range(2, order + 1)]
-                p, _ = _levels(counts, contexts, weights, 1 / (types + 1))
+                p = _levels(counts, contexts, weights, 1 / (types + 1))
                 sizes = unpack(row.sizes, np.uint32).astype(np.int64)
                 first = np.cumsum(sizes) - sizes
                 base = np.log10((counts[0] + 1) / (tokens + types + 1))
@@ -303,6 +305,7 @@ def score(df: DataFrame, fold, order: int = ORDER, doc_id: str = "doc_id", text:
                         "types long, tokens long, lost long"))
     sums = answers.agg(F.sum("types"), F.sum("tokens"), F.sum("lost")).first()
     types, tokens, lost = (int(x or 0) for x in sums)
+    release(df.sparkSession)
     fields = [f"{c}{k} binary" for k in range(1, order + 1) for c in "nm"]
     fields += [f"{c}{k} binary" for k in range(2, order + 1) for c in "xy"]
     counted = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(

@@ -6,8 +6,9 @@ Regions. Two sets that share nothing are at distance 1 from each other and from
 pivot between them, so no sample of documents can tell them apart. The first pivots are
 therefore the smallest sets there are, single shingles: a set is nearest to those it
 holds, ties broken by a fixed order of shingles (frequent ones last). A set is replicated
-to its first |x| - ceil(s |x|) + 1 pivots, the window that no linked pair can miss: sets
-that overlap so much share a pivot within both windows.
+to its first |x| - ceil(s |x|) + l pivots, the window that no linked pair can miss: sets
+that overlap so much share l pivots within both windows. With l a twentieth of a set's
+size, a set that shares fewer of its pivots with others has no link and leaves early.
 
 Recursion. Inside a region, distances to document pivots are computed. Sets within the
 radius of a pivot are linked to it and need no comparison among each other. The rest of
@@ -30,84 +31,184 @@ equal results. Other input columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lendmart.llm.blobs import mix
+from lendmart.llm.blobs import mix, pack, pack_sorted, unpack, unpack_sorted
 from lendmart.llm.common import release, table, whole
 from lendmart.llm.graph import components
 from lendmart.sources.snapshots import stage
 
 SHINGLE, PERCENT = 5, 80
-FREQUENT, MOST_FREQUENT = 12, 1_000_000   # order of pivots only: rows of a shingle, list's bound
-CACHED = 300_000
+EXTRA = 20            # a window has one pivot more for every so many shingles
+FREQUENT, MOST_FREQUENT = 8, 1_000_000    # order of pivots only: rows of a shingle, list's bound
+CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 2_000_000
+CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n binary, "
+         "sizes binary, pivots binary, n_pivots long")
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word):
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
 
 
 class Sets:
     """Sorted distinct shingle hashes of texts."""
 
-    def __init__(self, n: int):
-        self.n, self.known = n, {}
-
-    def of(self, text: str) -> np.ndarray:
-        own = text.encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        for word in set(own).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
-        if not len(hashes):
-            return hashes
-        n = min(self.n, len(hashes))
-        out = hashes[:len(hashes) - n + 1]
-        for k in range(1, n):
-            out = mix(out, hashes[k:len(hashes) - n + 1 + k])
-        return np.unique(out if n == self.n else out + np.uint64(n))
-
-
-def _first(shingles: np.ndarray, percent: int, frequent: np.ndarray | None) -> np.ndarray:
-    """The pivots of a set's window."""
-    n = len(shingles)
-    window = n - -(-percent * n // 100) + 1 if n else 0
-    if frequent is not None and len(frequent) and n:
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        often = frequent[at] == shingles
-        shingles = np.concatenate([shingles[~often], shingles[often]])
-    return shingles[:window]
+    def __init__(self, n: int, remembered: int = 300_000):
+        self.n, self.known, self.remembered = n, _Hashes(), remembered
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        words, sizes = [], []
+        for text in texts:
+            own = text.encode("utf-8", "surrogatepass").lower().split()
+            words += own
+            sizes.append(len(own))
+        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        rolled = hashes
+        for k in range(1, self.n):
+            rolled = mix(rolled[:-1], hashes[k:]) if len(rolled) > 1 else rolled[:0]
+        out, at = [], 0
+        for size in sizes:
+            if size >= self.n:
+                found = np.sort(rolled[at:at + size - self.n + 1])
+                new = np.empty(len(found), bool)
+                new[0] = True
+                np.not_equal(found[1:], found[:-1], out=new[1:])
+                out.append(found[new])
+            else:  # the whole text as one shingle, told from longer ones by its length
+                one = hashes[at:at + min(size, 1)] + np.uint64(size)
+                for k in range(1, size):
+                    one = mix(one, hashes[at + k:at + k + 1])
+                out.append(one)
+            at += size
+        return out
+
+
+def _window(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1 + n // EXTRA if n else 0
+
+
+def _needed(n: np.ndarray, percent: int) -> np.ndarray:
+    """Pivots that a set of size ``n`` shares with every set it is linked to, at least."""
+    return 1 + -(-percent * n // 100) // EXTRA
+
+
+def _first(found: list[np.ndarray], percent: int, frequent: np.ndarray) -> list[np.ndarray]:
+    """The pivots of the sets' windows."""
+    out = []
+    for s in found:
+        if len(frequent) and len(s):
+            at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+            often = frequent[at] == s
+            if often.any():
+                s = np.concatenate([s[~often], s[often]])
+        out.append(s[:_window(len(s), percent)])
+    return out
 
 
 def _pivots(n: int, percent: int):
     def run(batches):
-        sets = Sets(n)
+        sets, none = Sets(n), np.zeros(0, np.uint64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                found = [_first(sets.of(t), percent, None)
-                         for t in batch.slice(at, 1000).column(0).to_pylist()]
-                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64))],
-                                      names=["pivot"])
+            for at in range(0, batch.num_rows, 500):
+                found = sets.of(batch.slice(at, 500).column(0).to_pylist())
+                first = np.concatenate(_first(found, percent, none))
+                yield pa.record_batch([pa.array(first.view(np.int64))], names=["pivot"])
     return run
 
 
-def _signed(n: int, percent: int, frequent: np.ndarray):
-    schema = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("class", pa.int64()),
-                        ("n", pa.int64()), ("pivots", pa.list_(pa.int64()))])
+def _signed(n: int, percent: int, frequent: np.ndarray, limit: int):
+    """Chunks of documents with their classes and pivots."""
+    def flush(rows, first):
+        ids, hashes, names, counts = zip(*rows)
+        sizes = np.array([len(f) for f in first], np.uint32)
+        chunk = xxhash.xxh3_64(repr(rows).encode()).intdigest() >> 1
+        values = {"chunk": chunk, "ids": pack(np.array([i or 0 for i in ids]), np.int64),
+                  "absent": pack(np.array([i is None for i in ids]), np.uint8),
+                  "t": pack(np.array(hashes), np.int64),
+                  "classes": pack(np.array(names), np.int64),
+                  "n": pack(np.array(counts), np.int64), "sizes": pack(sizes, np.uint32),
+                  "pivots": pack(np.concatenate(first), np.uint64),
+                  "n_pivots": int(sizes.sum())}
+        return pa.RecordBatch.from_pylist([values])
 
     def run(batches):
-        sets = Sets(n)
+        sets, rows, kept, size = Sets(n), [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                docs, hashes, texts = batch.slice(at, 1000).columns
-                found = [sets.of(t) for t in texts.to_pylist()]
-                names = [xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 for s in found]
-                first = [_first(s, percent, frequent).view(np.int64) for s in found]
-                cuts = np.cumsum([0] + [len(x) for x in first])
-                yield pa.record_batch([
-                    docs, hashes, pa.array(names, pa.int64()),
-                    pa.array([len(s) for s in found], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()),
-                                             pa.array(np.concatenate(first)))], schema=schema)
+            for at in range(0, batch.num_rows, 500):
+                docs, hashes, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
+                found = sets.of(texts)
+                first = _first(found, percent, frequent)
+                for doc, t, s, f in zip(docs, hashes, found, first):
+                    rows.append((doc, t, xxhash.xxh3_64_intdigest(s.tobytes()) >> 1, len(s)))
+                    kept.append(f)
+                    size += len(f)
+                if size >= limit:
+                    yield flush(rows, kept)
+                    rows, kept, size = [], [], 0
+        if rows:
+            yield flush(rows, kept)
+    return run
+
+
+def _opened(batches):
+    """A row per document of the chunks: doc_id, t, class, n."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            absent = unpack(row["absent"], np.uint8).astype(bool)
+            yield pa.record_batch([
+                pa.array(unpack(row["ids"], np.int64), mask=absent),
+                *[pa.array(unpack(row[c], np.int64)) for c in ("t", "classes", "n")]],
+                names=["doc_id", "t", "class", "n"])
+
+
+def _asked(ranges: int):
+    """A chunk's distinct pivots and how often it has them, by ranges of their hash."""
+    def run(batches):
+        for pdf in batches:
+            for chunk, blob in zip(pdf["chunk"], pdf["pivots"]):
+                keys, counts = np.unique(unpack(blob, np.uint64), return_counts=True)
+                cuts = np.searchsorted((keys >> np.uint64(32)).astype(np.int64),
+                                       [(i << 32) // ranges for i in range(ranges + 1)])
+                out = [(i, chunk, pack_sorted(keys[a:b]), pack(counts[a:b], np.uint32))
+                       for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+                yield pd.DataFrame(out, columns=["range", "chunk", "keys", "counts"])
+    return run
+
+
+def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of every pivot asked about, whether more than one row has it."""
+    keys = [unpack_sorted(b) for b in pdf["keys"]]
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf["counts"]]))
+    shared = np.split((sums > 1)[place], np.cumsum([len(k) for k in keys])[:-1])
+    return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "range": key[0],
+                         "shared": [pack(x, np.uint8) for x in shared]})
+
+
+def _members(percent: int):
+    """(pivot, class, n) of the shared pivots of documents that have enough of them."""
+    def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples())
+        pivots = unpack(row.pivots, np.uint64)
+        _, place = np.unique(pivots, return_inverse=True)
+        shared = np.concatenate([unpack(b, np.uint8) for b in
+                                 answers.sort_values("range")["shared"]])[place].astype(bool)
+        sizes, n = unpack(row.sizes, np.uint32).astype(np.int64), unpack(row.n, np.int64)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        enough = np.bincount(doc, shared, len(sizes)) >= _needed(n, percent)
+        keep = shared & enough[doc]
+        return pd.DataFrame({"pivot": pivots[keep].view(np.int64),
+                             "class": unpack(row.classes, np.int64)[doc[keep]],
+                             "n": n[doc[keep]]}).drop_duplicates()
     return run
 
 
@@ -116,11 +217,11 @@ def _set_rows(n: int):
         sets = Sets(n)
         for batch in batches:
             names, texts = batch.columns
-            for at in range(0, batch.num_rows, 1000):
+            for at in range(0, batch.num_rows, 500):
+                found = sets.of(texts.slice(at, 500).to_pylist())
                 yield pa.record_batch(
-                    [names.slice(at, 1000), pa.array([sets.of(t).tobytes() for t in
-                                                      texts.slice(at, 1000).to_pylist()],
-                                                     pa.binary())], names=["class", "set"])
+                    [names.slice(at, 500), pa.array([s.tobytes() for s in found], pa.binary())],
+                    names=["class", "set"])
     return run
 
 
@@ -217,6 +318,28 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         most *= 8
 
 
+def regions(chunks: DataFrame, percent: int) -> DataFrame:
+    """Members (pivot, class, n) of the regions that hold more than one class."""
+    total = chunks.agg(F.sum("n_pivots")).first()[0] or 0
+    ranges = max(1, -(-total // RANGE_PIVOTS))
+    answers = chunks.filter("n_pivots > 0").select("chunk", "pivots").mapInPandas(
+        _asked(ranges), "range int, chunk long, keys binary, counts binary").groupBy(
+            "range").applyInPandas(_answer, "chunk long, range int, shared binary")
+    rows = stage(chunks.filter("n_pivots > 0").select("chunk", "classes", "n", "sizes", "pivots")
+                 .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+                     _members(percent), "pivot long, class long, n long").distinct())
+    for _ in range(2):  # a region that a leaving set empties may let others leave
+        several = stage(rows.groupBy("pivot").agg(F.min("class").alias("lo"),
+                                                  F.max("class").alias("hi"))
+                        .filter("lo < hi").select("pivot"))
+        rows = stage(rows.join(several, "pivot", "left_semi"))
+        enough = 1 + F.floor(F.ceil(percent * F.col("n") / 100) / EXTRA)
+        able = stage(rows.groupBy("class", "n").count().filter(F.col("count") >= enough)
+                     .select("class"))
+        rows = stage(rows.join(able, "class", "left_semi"))
+    return rows
+
+
 def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
                  text: str = "text") -> tuple[DataFrame, DataFrame | None]:
     """(rows, links): per input row doc_id, t, class, n; and links (a, b) between classes
@@ -228,15 +351,11 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
         "pivot").count().filter(F.col("count") >= FREQUENT).orderBy(
             F.desc("count"), "pivot").limit(MOST_FREQUENT).select("pivot").toArrow()
     frequent = np.sort(often.column(0).to_numpy().astype(np.int64).view(np.uint64))
-    signed = stage(docs.mapInArrow(
-        _signed(n, percent, frequent),
-        "doc_id long, t long, class long, n long, pivots array<long>"))
     release(spark)
-    rows = signed.select("doc_id", "t", "class", "n")
-    each = signed.select("class", "n", F.explode("pivots").alias("pivot"))
-    shared = each.groupBy("pivot").agg(F.min("class").alias("lo"), F.max("class").alias("hi")) \
-        .filter("lo < hi").select("pivot")
-    members = stage(each.join(stage(shared), "pivot", "left_semi").distinct())
+    chunks = stage(docs.mapInArrow(_signed(n, percent, frequent, CHUNK_PIVOTS), CHUNK))
+    rows = stage(chunks.select("ids", "absent", "t", "classes", "n").mapInArrow(
+        _opened, "doc_id long, t long, class long, n long"))
+    members = regions(chunks, percent)
     release(spark)
     # one document of every class in a shared region gives its set
     wanted = members.select("class").distinct()

@@ -253,16 +253,16 @@ def _linked(percent: int):
 
 
 def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distances of the regions' members (pivot, class, n) to document pivots: (a, b, both,
+    """Distances of the regions' members (see ``regions``) to document pivots: (a, b, both,
     either) with ``a`` the document pivot. Every pair of a region is either measured or has
     one of its sets within the ball of a pivot that both were measured against, or that
     is too far in size from the other to matter."""
     reach = 2 * percent - 100  # sets further from a pivot than twice the radius never matter
     found, left, leads = None, members, 1
     while not left.isEmpty():
-        rank = Window.partitionBy("pivot").orderBy("class")
+        rank = Window.partitionBy("pivot").orderBy("alone", "class")
         if leads == 1:
-            first = left.groupBy("pivot").agg(F.min(F.struct("class", "n")).alias("lead"))
+            first = left.groupBy("pivot").agg(F.min(F.struct("alone", "class", "n")).alias("lead"))
             first = first.select("pivot", F.col("lead.class").alias("a"),
                                  F.col("lead.n").alias("a_n"))
         else:
@@ -319,7 +319,12 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def regions(chunks: DataFrame, percent: int) -> DataFrame:
-    """Members (pivot, class, n) of the regions that hold more than one class."""
+    """Members (pivot, class, n, alone) of the regions that hold more than one class.
+
+    ``alone`` is smallest for the sets that share most of their pivots. Such a set lies in
+    the middle of its near copies, which differ from it less than from each other, so it
+    comes first as a document pivot.
+    """
     total = chunks.agg(F.sum("n_pivots")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_PIVOTS))
     answers = chunks.filter("n_pivots > 0").select("chunk", "pivots").mapInPandas(
@@ -337,7 +342,8 @@ def regions(chunks: DataFrame, percent: int) -> DataFrame:
         able = stage(rows.groupBy("class", "n").count().filter(F.col("count") >= enough)
                      .select("class"))
         rows = stage(rows.join(able, "class", "left_semi"))
-    return rows
+    alone = rows.groupBy("class").agg((-F.count(F.lit(1)) / F.first("n")).alias("alone"))
+    return stage(rows.join(stage(alone), "class"))
 
 
 def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",

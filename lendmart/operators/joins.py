@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lendmart import constants as K
+from lendmart.operators.ledger import one_label_per_customer
+from lendmart.sources.snapshots import stage
 
 
 def customer_snapshot(attributes: DataFrame, financials: DataFrame) -> DataFrame:
@@ -33,11 +35,19 @@ def training_set(labelled: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def matured(scored: DataFrame, labelled: DataFrame, as_of=None) -> DataFrame:
-    """Scored rows whose label is known, with labels dated after ``as_of`` left out."""
-    known = labelled
+    """Scored rows whose customer has a label, as known on ``as_of``.
+
+    ``labelled`` has a row per loan. Labels and batches dated later are left out first;
+    only then is a customer reduced to one label, so a later label never hides an earlier
+    one. The reduced labels are staged, which lets both sides of the join be exchanged
+    and a hot customer's rows be split.
+    """
     if as_of is not None:
-        known = known.filter(F.col(K.SNAPSHOT) <= F.lit(str(as_of)).cast("date"))
-    known = known.select(K.CUSTOMER, "label", F.col(K.SNAPSHOT).alias("label_date"))
+        date = F.lit(str(as_of)).cast("date")
+        labelled = labelled.filter(F.col(K.SNAPSHOT) <= date)
+        scored = scored.filter(F.col("inference_date") <= date)
+    known = stage(one_label_per_customer(labelled).select(
+        K.CUSTOMER, "label", F.col(K.SNAPSHOT).alias("label_date")))
     return scored.join(known, K.CUSTOMER, "inner")
 
 
@@ -52,11 +62,10 @@ def models_for(registry: DataFrame, batches: DataFrame) -> DataFrame:
     stamped = batches.withColumn("trained", F.add_months("inference_date", -1))
     recent = (stamped.join(registry.filter(F.col("model_label") != "production"), "trained")
               .select("inference_date", "model_label", "model_version"))
-    # equi-join on a constant key: the registry has a single production row
-    production = registry.filter(F.col("model_label") == "production").limit(1)
-    serving = (batches.withColumn("model_label", F.lit("production"))
-               .join(production, "model_label")
-               .filter(F.col("inference_date") > F.col("trained"))
-               .select("inference_date", "model_label", "model_version"))
-    return serving.unionByName(recent.join(serving.select("inference_date"), "inference_date",
-                                           "left_semi"))
+    # scalar subqueries: a second production row is an error, not a choice
+    production = registry.filter(F.col("model_label") == "production")
+    served = F.col("inference_date") > production.select("trained").scalar()
+    serving = batches.filter(served).select(
+        "inference_date", F.lit("production").alias("model_label"),
+        production.select("model_version").scalar().alias("model_version"))
+    return serving.unionByName(recent.filter(served))

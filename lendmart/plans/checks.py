@@ -331,7 +331,11 @@ FROM (SELECT inference_date,
       FROM sc_batches WHERE model_label = 'production' GROUP BY 1) b, sc_psi_expected""",
     "sc_matured": """
 SELECT s.* EXCLUDE (label), l.label, l.snapshot_date AS label_date
-FROM ad_scored s JOIN lb_customer l ON l.Customer_ID = s.Customer_ID""",
+FROM ad_scored s JOIN (
+    SELECT Customer_ID, max(label) AS label, max(snapshot_date) AS snapshot_date
+    FROM lb_labels WHERE snapshot_date <= DATE '2001-01-01' GROUP BY Customer_ID
+) l ON l.Customer_ID = s.Customer_ID
+WHERE s.inference_date <= DATE '2001-01-01'""",
     "rg_trained": """
 SELECT DISTINCT 'credit_model_' || strftime(inference_date, '%Y_%m_%d') AS model_version,
        inference_date AS trained

@@ -51,8 +51,8 @@ class Mart:
     def loaded(self, table: str, value, column: str = K.SNAPSHOT) -> bool:
         return tables.is_loaded(self.spark, self.path(table), value, column)
 
-    def write(self, df: DataFrame, table: str, by=(K.SNAPSHOT,)) -> None:
-        tables.write_slices(df, self.path(table), by)
+    def write(self, df: DataFrame, table: str, by=(K.SNAPSHOT,), value=None) -> None:
+        tables.write_slices(df, self.path(table), by, value=value)
 
 
 def land(mart: Mart, source: str, csv_path: str, snapshot_date, mode: str = "skip") -> bool:
@@ -232,7 +232,8 @@ def score_month(mart: Mart, inference_date, mode: str = "skip") -> bool:
         shown = [state.source_of(f) for f in m["top"]]
         parts.append(S.score(rows, model, state, m["threshold"], version, m["model_label"],
                              inference_date, shown))
-    mart.write(S.score_all(parts), "gold/scores", ["inference_date", "model_label"])
+    mart.write(S.score_all(parts), "gold/scores", ["inference_date", "model_label"],
+               inference_date)
     return True
 
 
@@ -256,7 +257,7 @@ def monitor_month(mart: Mart, monitor_date) -> dict[str, DataFrame]:
     points = ranks.cut_points(scores, ["score"])["score"]
     known = joins.matured(
         scores.select(K.CUSTOMER, "score", "prediction", "model_version", *by),
-        ledger.one_label_per_customer(mart.read("gold/labels")), as_of=monitor_date)
+        mart.read("gold/labels"), as_of=monitor_date)
     performance = metrics.performance(known, [*by, "model_version"], points)
     out = {name: monitor.with_status(df, name) for name, df in out.items()}
     out["performance"] = monitor.with_status(monitor.with_status(performance, "gini"), "recall")

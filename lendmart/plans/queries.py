@@ -284,11 +284,11 @@ def training_set(spark, d):
 
 
 @query("""SELECT Customer_ID, loan_id, score, prediction, model_label, inference_date,
-                 label, label_date FROM sc_matured WHERE label_date <= DATE '2001-01-01'""")
+                 label, label_date FROM sc_matured""")
 def matured_scores(spark, d):
     scored = A.scored(spark, d).select("Customer_ID", "loan_id", "score", "prediction",
                                        "model_label", "inference_date")
-    return joins.matured(scored, customer_labels(spark, d), as_of="2001-01-01")
+    return joins.matured(scored, loan_labels(spark, d), as_of="2001-01-01")
 
 
 def registry(spark, d) -> DataFrame:
@@ -681,15 +681,14 @@ def csi_by_batch(spark, d):
     return _csi(spark, d, A.DRIFT_FEATURES)
 
 
-_PERF = metrics_sql("(SELECT * FROM sc_matured WHERE label_date <= DATE '2001-01-01')",
-                    "inference_date, model_label", pred="prediction")
+_PERF = metrics_sql("sc_matured", "inference_date, model_label", pred="prediction")
 
 
 def performance(spark, d):
     scored = A.scored(spark, d).select("Customer_ID", "score", "prediction", "model_label",
                                        "inference_date")
     points = ranks.cut_points(scored, ["score"])["score"]
-    rows = joins.matured(scored, customer_labels(spark, d), as_of="2001-01-01")
+    rows = joins.matured(scored, loan_labels(spark, d), as_of="2001-01-01")
     return metrics.performance(rows, ["inference_date", "model_label"], points)
 
 

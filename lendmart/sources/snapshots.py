@@ -69,9 +69,10 @@ def write_slices(df: DataFrame, path: str, by: Sequence[str] = (K.SNAPSHOT,),
                  mode: str = "replace", value=None, rebalance: bool = True) -> bool:
     """Write the frame's slices and return whether anything was written.
 
-    ``replace`` overwrites exactly the partitions present in the frame. ``skip``
-    leaves a slice alone that already holds rows and needs ``value``, the date of
-    the slice. Rows are rebalanced by slice before the write: AQE then splits a
+    ``replace`` overwrites the partitions present in the frame. With ``value``, the
+    date of one slice, it replaces that slice as a whole: what the frame no longer has
+    goes, also when it has no rows, and rows of other slices are not written. ``skip``
+    leaves a slice alone that already holds rows and needs ``value``. Rows are rebalanced by slice before the write: AQE then splits a
     large slice over many tasks and merges small ones, so a month is neither one
     huge file nor thousands of small ones.
     """
@@ -82,7 +83,13 @@ def write_slices(df: DataFrame, path: str, by: Sequence[str] = (K.SNAPSHOT,),
             raise ValueError("mode='skip' needs value=")
         if is_loaded(df.sparkSession, path, value, by[0]):
             return False
+    if value is not None:
+        df = snapshot_of(df, value, by[0])
     out = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
+    if value is not None:
+        writer = out.drop(by[0]).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*by[1:]) if by[1:] else writer).parquet(f"{path}/{by[0]}={value}")
+        return True
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
     return True
@@ -120,10 +127,13 @@ def _own_folder(application: str) -> str:
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the session names in spark.checkpoint.dir, or the one its
-    context was given; a local one only where neither is set, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getCheckpointDir()
-            or _own_folder(spark.sparkContext.applicationId))
+    context was given. Only a local master, as in tests, may do without: on a cluster
+    executors would not see a folder of the driver's machine."""
+    named = (spark.conf.get("spark.checkpoint.dir", None)
+             or spark.sparkContext.getCheckpointDir())
+    if not named and not spark.conf.get("spark.master", "local[*]").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or _own_folder(spark.sparkContext.applicationId)
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -127,3 +127,23 @@ def test_label_reduction_combines_before_the_shuffle(spark):
 
 def test_panel_combines_events_before_the_shuffle(spark):
     assert "partial_sum" in plan_of(A.panel(spark, SF))
+
+
+def test_later_labels_do_not_hide_earlier_ones(spark):
+    known = spark.sql("""SELECT * FROM VALUES ('a', 1, date'2024-01-01'), ('a', 0, date'2024-05-01'),
+        ('b', 0, date'2024-05-01'), ('c', 0, date'2024-02-01'), ('c', 1, date'2024-02-01')
+        AS t(Customer_ID, label, snapshot_date)""")
+    scored = spark.sql("""SELECT * FROM VALUES ('a', date'2024-01-01'), ('a', date'2024-04-01'),
+        ('b', date'2024-01-01'), ('c', date'2024-03-01') AS t(Customer_ID, inference_date)""")
+    got = joins.matured(scored, known, as_of="2024-03-01").collect()
+    assert sorted((r["Customer_ID"], r["label"], str(r["label_date"])) for r in got) == [
+        ("a", 1, "2024-01-01"), ("c", 1, "2024-02-01")]
+    assert len(joins.matured(scored, known).collect()) == 4
+
+
+def test_two_production_models_are_an_error(spark):
+    registry = spark.sql("""SELECT 'production' AS model_label, concat('v', id) AS model_version,
+        date'2024-01-01' AS trained FROM range(2)""")
+    batches = spark.sql("SELECT date'2024-03-01' AS inference_date")
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS|more than one row"):
+        joins.models_for(registry, batches).collect()

@@ -88,3 +88,16 @@ def test_stage_folder_is_the_cluster_s_where_it_names_one():
     assert S.checkpoint_folder(Session("s3a://shared/x")) == "s3a://shared/x"
     own = S.checkpoint_folder(Session(None))
     assert own == S.checkpoint_folder(Session(None)) and "lendmart-" in own
+
+
+def test_replace_of_a_slice_clears_what_the_frame_no_longer_has(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for day in (1, 2):
+        S.write_slices(slice_of(spark, day, [day]), path, value=f"2024-0{day}-01")
+    S.write_slices(slice_of(spark, 1, [5]).filter("v < 0"), path, value="2024-01-01")
+    assert rows(spark, path) == [(2, "2024-02-01")]
+    by = ["snapshot_date", "model"]
+    two = slice_of(spark, 1, [1, 2]).selectExpr("*", "concat('m', v) AS model")
+    S.write_slices(two, path + "2", by, value="2024-01-01")
+    S.write_slices(two.filter("v = 2"), path + "2", by, value="2024-01-01")
+    assert [r["model"] for r in spark.read.parquet(path + "2").collect()] == ["m2"]

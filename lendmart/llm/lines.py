@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from lendmart.llm.common import carried, keyed, packed, same_key, table, unpacked
 from lendmart.sources.snapshots import stage
@@ -89,7 +90,7 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     return stage(shared.join(named, ["leaf", "form"])), occurring
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
     def one(text, lines):
         if text is None or lines is None:

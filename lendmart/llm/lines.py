@@ -19,8 +19,12 @@ through; an input column ``n_dropped`` is replaced.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from lendmart.llm.common import carried, keyed, packed, same_key, table, unpacked
@@ -32,32 +36,61 @@ MIN_CONSTANT, SHARE = 4, 0.7   # constant tokens of a template: at least, and sh
 FIELD = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    """Tokens with single spaces; those with a digit generalised."""
-    line = F.trim(F.regexp_replace(line, r"\s+", " "))
-    return F.when(F.regexp_like(line, F.lit("[0-9]")), F.regexp_replace(
-        line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD)).otherwise(line)
+_DIGIT = re.compile("[0-9]")
 
 
-def _leaf(masked: Column) -> Column:
-    """The path of a masked line, or null if it is too short to be a template."""
-    tokens = F.split(masked, " ")
-    return F.when(F.size(tokens) >= MIN_CONSTANT,
-                  F.xxhash64(F.size(tokens), F.substring_index(masked, " ", LEADING)))
+def _leaf(tokens: list[str]) -> int:
+    """The path of a line's tokens."""
+    path = f"{len(tokens)} {' '.join(tokens[:LEADING])}"
+    return xxhash.xxh3_64_intdigest(path.encode("utf-8", "surrogatepass")) >> 1
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _tokens(line: str) -> list[str] | None:
+    """Tokens between white space, those with a digit generalised; None if too few."""
+    tokens = line.split()
+    if len(tokens) < MIN_CONSTANT:
+        return None
+    if _DIGIT.search(line):
+        return [FIELD if _DIGIT.search(x) else x for x in tokens]
+    return tokens
+
+
+def _leaves(batches):
+    """Leaves of each text, once."""
+    for batch in batches:
+        out = []
+        for text in batch.column(0).to_pylist():
+            found = map(_tokens, text.split("\n"))
+            out.extend({_leaf(tokens) for tokens in found if tokens})
+        yield pa.record_batch([pa.array(out, pa.int64())], names=["leaf"])
+
+
+def _masked(batches):
     """(d, t, line, masked, leaf) of every line that can be a template."""
-    each = docs.select("d", "t", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
-    masked = each.select("d", "t", "line", _masked(F.col("raw")).alias("masked"))
-    return masked.withColumn("leaf", _leaf(F.col("masked"))).filter("leaf IS NOT NULL")
+    schema = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("line", pa.int32()),
+                        ("masked", pa.string()), ("leaf", pa.int64())])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            columns = [[] for _ in schema]
+            for d, t, text in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns)):
+                for line, raw in enumerate(text.split("\n")):
+                    tokens = _tokens(raw)
+                    if tokens:
+                        for column, value in zip(columns, (d, t, line, " ".join(tokens),
+                                                           _leaf(tokens))):
+                            column.append(value)
+            yield pa.record_batch(columns, schema=schema)
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("d").cast("long"), "t", "text").mapInArrow(
+        _masked, "d long, t long, line int, masked string, leaf long")
 
 
 def _path_counts(docs: DataFrame, min_docs: int) -> DataFrame:
     """Leaves that enough documents reach; a document's repeats count once."""
-    paths = F.transform(F.split("text", "\n", -1), lambda line: _leaf(_masked(line)))
-    return docs.select(F.explode(F.array_distinct(paths)).alias("leaf")).filter(
-        "leaf IS NOT NULL").groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
+    return docs.select("text").mapInArrow(_leaves, "leaf long").groupBy("leaf").count().filter(
+        F.col("count") >= min_docs).select("leaf")
 
 
 def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:

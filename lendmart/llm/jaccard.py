@@ -101,31 +101,35 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     return 1 + -(-percent * n // 100) // EXTRA
 
 
-def _first(found: list[np.ndarray], percent: int, frequent: np.ndarray) -> list[np.ndarray]:
-    """The pivots of the sets' windows."""
+def _first(found: list[np.ndarray], percent: int, frequent: np.ndarray,
+           often_n: np.ndarray) -> list[np.ndarray]:
+    """The pivots of the sets' windows: the order is that of the hashes, but frequent
+    shingles come last, the most frequent ones at the very end."""
     out = []
     for s in found:
         if len(frequent) and len(s):
             at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
             often = frequent[at] == s
             if often.any():
-                s = np.concatenate([s[~often], s[often]])
+                last = s[often][np.argsort(often_n[at[often]], kind="stable")]
+                s = np.concatenate([s[~often], last])
         out.append(s[:_window(len(s), percent)])
     return out
 
 
-def _pivots(n: int, percent: int):
+def _pivots(n: int):
+    """All shingles of each set: any may become a pivot once frequent ones are put last."""
     def run(batches):
-        sets, none = Sets(n), np.zeros(0, np.uint64)
+        sets = Sets(n)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 found = sets.of(batch.slice(at, 500).column(0).to_pylist())
-                first = np.concatenate(_first(found, percent, none))
-                yield pa.record_batch([pa.array(first.view(np.int64))], names=["pivot"])
+                every = np.concatenate(found).view(np.int64)
+                yield pa.record_batch([pa.array(every)], names=["pivot"])
     return run
 
 
-def _signed(n: int, percent: int, frequent: np.ndarray, limit: int):
+def _signed(n: int, percent: int, frequent: np.ndarray, often_n: np.ndarray, limit: int):
     """Chunks of documents with their classes and pivots."""
     def flush(rows, first):
         ids, hashes, names, counts = zip(*rows)
@@ -146,7 +150,7 @@ def _signed(n: int, percent: int, frequent: np.ndarray, limit: int):
             for at in range(0, batch.num_rows, 500):
                 docs, hashes, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
                 found = sets.of(texts)
-                first = _first(found, percent, frequent)
+                first = _first(found, percent, frequent, often_n)
                 for doc, t, s, f in zip(docs, hashes, found, first):
                     rows.append((doc, t, xxhash.xxh3_64_intdigest(s.tobytes()) >> 1, len(s)))
                     kept.append(f)
@@ -353,12 +357,14 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"),
                      F.xxhash64(whole(text)).alias("t"), whole(text).alias("text"))
-    often = docs.select("text").mapInArrow(_pivots(n, percent), "pivot long").groupBy(
+    often = docs.select("text").mapInArrow(_pivots(n), "pivot long").groupBy(
         "pivot").count().filter(F.col("count") >= FREQUENT).orderBy(
-            F.desc("count"), "pivot").limit(MOST_FREQUENT).select("pivot").toArrow()
-    frequent = np.sort(often.column(0).to_numpy().astype(np.int64).view(np.uint64))
+            F.desc("count"), "pivot").limit(MOST_FREQUENT).toArrow()
+    frequent = often.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    frequent, often_n = frequent[order], often.column(1).to_numpy().astype(np.int64)[order]
     release(spark)
-    chunks = stage(docs.mapInArrow(_signed(n, percent, frequent, CHUNK_PIVOTS), CHUNK))
+    chunks = stage(docs.mapInArrow(_signed(n, percent, frequent, often_n, CHUNK_PIVOTS), CHUNK))
     rows = stage(chunks.select("ids", "absent", "t", "classes", "n").mapInArrow(
         _opened, "doc_id long, t long, class long, n long"))
     members = regions(chunks, percent)

@@ -19,6 +19,11 @@ radius; these boundary pairs are compared, nearest first, until their parts are
 or none is left. So every link between different texts is either found or implied by
 links that are, and components are exact.
 
+Regions with the same members are one region. Every class has a bitmap of its set, each
+shingle flipping one bit: two sets differ in at least as many shingles as their bitmaps in
+bits, so pairs too different to matter are left out where they meet. Pairs left out this
+way are never links, nor within twice the radius of a pivot.
+
 Sets equal in all shingles are one class from the start. Neither a region, a ball nor a
 class is ever brought into one task: all of it is rows that meet in equi-joins.
 
@@ -43,7 +48,9 @@ from lendmart.sources.snapshots import stage
 
 SHINGLE, PERCENT = 5, 80
 EXTRA = 20            # a window has one pivot more for every so many shingles
-FREQUENT, MOST_FREQUENT = 8, 1_000_000    # order of pivots only: rows of a shingle, list's bound
+FREQUENT, MOST_FREQUENT = 4, 1_000_000    # order of pivots only: rows of a block, list's bound
+BLOCK = 4_000_000     # shingles counted together
+BITMAP = 8            # words of 64 bits of a set's bitmap
 CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 2_000_000
 CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n binary, "
          "sizes binary, pivots binary, n_pivots long")
@@ -117,15 +124,27 @@ def _first(found: list[np.ndarray], percent: int, frequent: np.ndarray,
     return out
 
 
-def _pivots(n: int):
-    """All shingles of each set: any may become a pivot once frequent ones are put last."""
+def _counted(n: int, block: int, least: int):
+    """Lossy counting: all shingles are counted in blocks, and those with ``least`` rows in
+    a block are passed on. A shingle's sum falls short by less than that for every block."""
+    def flush(kept):
+        keys, counts = np.unique(np.concatenate(kept), return_counts=True)
+        often = counts >= least
+        return pa.record_batch([pa.array(keys[often].view(np.int64)), pa.array(counts[often])],
+                               names=["pivot", "rows"])
+
     def run(batches):
-        sets = Sets(n)
+        sets, kept, size = Sets(n), [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 found = sets.of(batch.slice(at, 500).column(0).to_pylist())
-                every = np.concatenate(found).view(np.int64)
-                yield pa.record_batch([pa.array(every)], names=["pivot"])
+                kept += found
+                size += sum(map(len, found))
+                if size >= block:
+                    yield flush(kept)
+                    kept, size = [], 0
+        if kept:
+            yield flush(kept)
     return run
 
 
@@ -223,12 +242,40 @@ def _set_rows(n: int):
             names, texts = batch.columns
             for at in range(0, batch.num_rows, 500):
                 found = sets.of(texts.slice(at, 500).to_pylist())
+                maps = np.stack([_bitmap(s) for s in found]).T
                 yield pa.record_batch(
-                    [names.slice(at, 500), pa.array([s.tobytes() for s in found], pa.binary())],
-                    names=["class", "set"])
+                    [names.slice(at, 500), pa.array([s.tobytes() for s in found], pa.binary()),
+                     *[pa.array(np.ascontiguousarray(m)) for m in maps]],
+                    names=["class", "set", *BITS])
     return run
 
 
+#: Columns of a bitmap.
+BITS = [f"bits{i}" for i in range(BITMAP)]
+
+
+def _bitmap(keys: np.ndarray) -> np.ndarray:
+    """Words whose bits tell whether an odd number of keys fell on them."""
+    odd = np.bincount((keys % np.uint64(64 * BITMAP)).astype(np.int64),
+                      minlength=64 * BITMAP) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_reach(percent: int, a: str, b: str):
+    """False only of pairs with a similarity below ``percent``; ``a`` and ``b`` are prefixes
+    of both sides' n and bitmap columns. Such a similarity needs sizes that near, and at
+    most (100 - percent) / (100 + percent) of the sizes' sum may be in one set only."""
+    n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum((F.bit_count(F.col(a + w).bitwiseXOR(F.col(b + w))) for w in BITS), F.lit(0))
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
+        apart * (100 + percent) <= (n_a + n_b) * (100 - percent))
+
+
+def _named(df: DataFrame, prefix: str) -> DataFrame:
+    """n and bitmap columns under a prefix."""
+    return df.withColumnsRenamed({c: prefix + c for c in ("n", *BITS)})
+
+
 def _shared(batches):
     for batch in batches:
         out = []
@@ -256,37 +303,48 @@ def _linked(percent: int):
     return 100 * F.col("both") >= percent * F.col("either")
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Regions of several members; of regions with the same members, one."""
+    names = rows.groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("class")).alias("x"),
+        F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")).filter("members > 1")
+    one = stage(names.groupBy("members", "x", "y").agg(F.min("pivot").alias("pivot")).select("pivot"))
+    return stage(rows.join(one, "pivot", "left_semi"))
+
+
 def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distances of the regions' members (see ``regions``) to document pivots: (a, b, both,
-    either) with ``a`` the document pivot. Every pair of a region is either measured or has
-    one of its sets within the ball of a pivot that both were measured against, or that
-    is too far in size from the other to matter."""
+    either) with ``a`` the document pivot. Every pair of a region is either measured, or has
+    one of its sets within the ball of a pivot that both were measured against, or is too
+    far apart from it or from each other to matter."""
     reach = 2 * percent - 100  # sets further from a pivot than twice the radius never matter
     found, left, leads = None, members, 1
     while not left.isEmpty():
-        rank = Window.partitionBy("pivot").orderBy("alone", "class")
         if leads == 1:
-            first = left.groupBy("pivot").agg(F.min(F.struct("alone", "class", "n")).alias("lead"))
-            first = first.select("pivot", F.col("lead.class").alias("a"),
-                                 F.col("lead.n").alias("a_n"))
+            own = ["alone", "class", "n", *BITS]
+            first = left.groupBy("pivot").agg(F.min(F.struct(*own)).alias("lead")).select(
+                "pivot", F.col("lead.class").alias("a"), *[F.col(f"lead.{c}").alias(f"a_{c}")
+                                                           for c in ("n", *BITS)])
+            near = left.withColumn("first", F.lit(False))
         else:
-            first = left.withColumn("rank", F.row_number().over(rank)).filter(
-                F.col("rank") <= leads).select("pivot", F.col("class").alias("a"),
-                                               F.col("n").alias("a_n"))
+            rank = Window.partitionBy("pivot").orderBy("alone", "class")
+            near = stage(left.withColumn("first", F.row_number().over(rank) <= leads))
+            first = _named(near.filter("first").drop("alone", "first"), "a_").withColumnRenamed(
+                "class", "a")
         first = stage(first)
-        near = left.join(first, "pivot").filter(F.col("class") != F.col("a")).filter(
-            100 * F.least("n", "a_n") >= reach * F.greatest("n", "a_n"))
-        asked = near.select("a", F.col("class").alias("b")).distinct()
+        # of two pivots, only the smaller asks
+        near = stage(_named(near, "b_").join(first, "pivot").filter(
+            (F.col("class") != F.col("a")) & ~(F.col("first") & (F.col("class") < F.col("a")))
+            & _may_reach(reach, "a_", "b_")).select("pivot", "a", F.col("class").alias("b")))
+        asked = near.select("a", "b").distinct()
         if found is not None:
             asked = asked.join(found, ["a", "b"], "left_anti")
         measured = measure(asked, sets)
         found = measured if found is None else stage(found.unionByName(measured))
-        balls = found.filter(_linked(percent)).select("a", F.col("b").alias("class"))
-        covered = left.join(first, "pivot").join(balls, ["a", "class"], "left_semi").select(
-            "pivot", "class").union(first.select("pivot", F.col("a").alias("class"))).distinct()
-        left = stage(left.join(covered, ["pivot", "class"], "left_anti"))
-        left = stage(left.join(left.groupBy("pivot").count().filter("count > 1")
-                               .select("pivot"), "pivot", "left_semi"))
+        balls = found.filter(_linked(percent)).select("a", "b")
+        covered = near.join(balls, ["a", "b"], "left_semi").select("pivot", F.col("b").alias("class"))
+        covered = covered.union(first.select("pivot", F.col("a").alias("class"))).distinct()
+        left = _merged(stage(left.join(covered, ["pivot", "class"], "left_anti")))
         leads *= 8
     return found
 
@@ -294,9 +352,11 @@ def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All links (a, b), after comparing across the boundaries of balls."""
     far = F.col("both") / F.col("either")
+    bitmaps = sets.select("class", "n", *BITS)
     links = found.filter(_linked(percent)).select("a", "b")
     inner = stage(found.filter(_linked(percent) & (F.col("both") < F.col("either"))).select(
-        F.col("a").alias("ball"), F.col("b").alias("inside"), far.alias("s_in")))
+        F.col("a").alias("ball"), F.col("b").alias("inside"), far.alias("s_in")).join(
+            _named(bitmaps, "in_").withColumnRenamed("class", "inside"), "inside"))
     rest = stage(found.filter(~_linked(percent) & (
         100 * F.col("both") >= (2 * percent - 100) * F.col("either"))).select(
             F.col("a").alias("ball"), F.col("b").alias("outside"), far.alias("s_out"))
@@ -314,8 +374,10 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         order = Window.partitionBy("ball", "part").orderBy(F.desc("s_out"), "outside")
         ranked = rest.withColumn("rank", F.row_number().over(order)).drop("part")
         # the radius leaves a little room for rounding: comparing more never changes links
-        asked = ranked.filter(F.col("rank") <= most).join(inner, "ball").filter(
-            F.col("s_in") <= F.col("s_out") + (100 - percent) / 100 + 1e-9).select(
+        asked = ranked.filter(F.col("rank") <= most).join(
+            _named(bitmaps, "out_").withColumnRenamed("class", "outside"), "outside").join(
+                inner, "ball").filter(_may_reach(percent, "in_", "out_") & (
+                    F.col("s_in") <= F.col("s_out") + (100 - percent) / 100 + 1e-9)).select(
                 F.col("outside").alias("a"), F.col("inside").alias("b")).distinct()
         links = stage(links.union(measure(asked, sets).filter(_linked(percent)).select("a", "b")))
         rest = stage(ranked.filter(F.col("rank") > most).drop("rank"))
@@ -323,7 +385,8 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def regions(chunks: DataFrame, percent: int) -> DataFrame:
-    """Members (pivot, class, n, alone) of the regions that hold more than one class.
+    """Members (pivot, class, n, alone) of the regions that hold more than one class; of
+    regions with the same members, one.
 
     ``alone`` is smallest for the sets that share most of their pivots. Such a set lies in
     the middle of its near copies, which differ from it less than from each other, so it
@@ -347,7 +410,7 @@ def regions(chunks: DataFrame, percent: int) -> DataFrame:
                      .select("class"))
         rows = stage(rows.join(able, "class", "left_semi"))
     alone = rows.groupBy("class").agg((-F.count(F.lit(1)) / F.first("n")).alias("alone"))
-    return stage(rows.join(stage(alone), "class"))
+    return stage(_merged(rows).join(stage(alone), "class"))
 
 
 def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -357,9 +420,10 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"),
                      F.xxhash64(whole(text)).alias("t"), whole(text).alias("text"))
-    often = docs.select("text").mapInArrow(_pivots(n), "pivot long").groupBy(
-        "pivot").count().filter(F.col("count") >= FREQUENT).orderBy(
-            F.desc("count"), "pivot").limit(MOST_FREQUENT).toArrow()
+    often = docs.select("text").mapInArrow(
+        _counted(n, BLOCK, FREQUENT), "pivot long, rows long").groupBy("pivot").agg(
+            F.sum("rows").alias("rows")).orderBy(
+                F.desc("rows"), "pivot").limit(MOST_FREQUENT).toArrow()
     frequent = often.column(0).to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, often_n = frequent[order], often.column(1).to_numpy().astype(np.int64)[order]
@@ -374,8 +438,10 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     one = stage(rows.join(wanted, "class", "left_semi").groupBy("class").agg(
         F.min(F.struct("doc_id", "t")).alias("one")).select("class", "one.*"))
     joined = docs.join(one, (docs["t"] == one["t"]) & docs["doc_id"].eqNullSafe(one["doc_id"]))
-    sets = stage(joined.select("class", "text").mapInArrow(
-        _set_rows(n), "class long, set binary").dropDuplicates(["class"]))
+    columns = ", ".join(["class long", "set binary", *[f"{w} long" for w in BITS]])
+    sets = stage(joined.select("class", "text").mapInArrow(_set_rows(n), columns)
+                 .dropDuplicates(["class"]).withColumn("n", F.floor(F.length("set") / 8)))
+    members = stage(members.join(sets.select("class", *BITS), "class"))
     release(spark)
     found = _balls(members, sets, percent)
     return rows, None if found is None else _boundary(found, sets, percent)

@@ -19,7 +19,8 @@ radius; these boundary pairs are compared, nearest first, until their parts are
 or none is left. So every link between different texts is either found or implied by
 links that are, and components are exact.
 
-Regions with the same members are one region. Every class has a bitmap of its set, each
+Regions with the same members are one region, and large ones are merged with those much
+like them. Every class has a bitmap of its set, each
 shingle flipping one bit: two sets differ in at least as many shingles as their bitmaps in
 bits, so pairs too different to matter are left out where they meet. Pairs left out this
 way are never links, nor within twice the radius of a pivot.
@@ -51,6 +52,8 @@ EXTRA = 20            # a window has one pivot more for every so many shingles
 FREQUENT, MOST_FREQUENT = 4, 1_000_000    # order of pivots only: rows of a block, list's bound
 BLOCK = 4_000_000     # shingles counted together
 BITMAP = 8            # words of 64 bits of a set's bitmap
+LARGE, MINIMA = 16, 4    # members of regions that may become one with others; hashes compared
+HOMES = 32            # regions of a set that are known where it meets others
 CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 2_000_000
 CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n binary, "
          "sizes binary, pivots binary, n_pivots long")
@@ -304,12 +307,32 @@ def _linked(percent: int):
 
 
 def _merged(rows: DataFrame) -> DataFrame:
-    """Regions of several members; of regions with the same members, one."""
+    """Regions of several members. Of regions with the same members one is left, and larger
+    regions that are alike, in their size and the smallest hashes of their members, become
+    one with the members of all: no pair is lost, and a pair meets less often."""
+    alike = [f"m{k}" for k in range(MINIMA)]
     names = rows.groupBy("pivot").agg(
         F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("class")).alias("x"),
-        F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")).filter("members > 1")
-    one = stage(names.groupBy("members", "x", "y").agg(F.min("pivot").alias("pivot")).select("pivot"))
-    return stage(rows.join(one, "pivot", "left_semi"))
+        F.bit_xor(F.xxhash64("class", F.lit(-1))).alias("y"),
+        *[F.min(F.xxhash64("class", F.lit(k))).alias(m) for k, m in enumerate(alike)]
+    ).filter("members > 1")
+    one = stage(names.groupBy("members", "x", "y").agg(
+        F.min("pivot").alias("pivot"), *[F.first(m).alias(m) for m in alike])
+        .withColumn("scale", F.floor(F.log2("members"))))
+    large = one.filter(F.col("members") >= LARGE)
+    region = large.groupBy("scale", *alike).agg(F.min("pivot").alias("region"))
+    into = stage(large.join(region, ["scale", *alike]).select("pivot", "region"))
+    others = [c for c in rows.columns if c != "pivot"]
+    return stage(rows.join(one.filter(F.col("members") < LARGE).select("pivot"), "pivot", "left_semi")
+                 .select("pivot", *others).union(
+        rows.join(into, "pivot").select(F.col("region").alias("pivot"), *others)
+        .dropDuplicates(["pivot", "class"])))
+
+
+def _some(rows: DataFrame, member: str, name: str) -> DataFrame:
+    """A member's first regions. The list is short: it saves repeated pairs, no more."""
+    return stage(rows.groupBy(member).agg(
+        F.slice(F.sort_array(F.collect_list("pivot")), 1, HOMES).alias(name)))
 
 
 def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -332,17 +355,21 @@ def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             first = _named(near.filter("first").drop("alone", "first"), "a_").withColumnRenamed(
                 "class", "a")
         first = stage(first)
-        # of two pivots, only the smaller asks
-        near = stage(_named(near, "b_").join(first, "pivot").filter(
-            (F.col("class") != F.col("a")) & ~(F.col("first") & (F.col("class") < F.col("a")))
-            & _may_reach(reach, "a_", "b_")).select("pivot", "a", F.col("class").alias("b")))
-        asked = near.select("a", "b").distinct()
+        # of two pivots, only the smaller asks; a pair meets in its first common region
+        common = F.array_min(F.array_intersect("led", "homes"))
+        asked = _named(near, "b_").join(_some(left, "class", "homes"), "class").join(
+            first.join(_some(first, "a", "led"), "a"), "pivot").filter(
+                (F.col("class") != F.col("a")) & ~(F.col("first") & (F.col("class") < F.col("a")))
+                & _may_reach(reach, "a_", "b_")
+                & (common.isNull() | (F.col("pivot") <= common))).select(
+                    "a", F.col("class").alias("b")).distinct()
         if found is not None:
             asked = asked.join(found, ["a", "b"], "left_anti")
         measured = measure(asked, sets)
         found = measured if found is None else stage(found.unionByName(measured))
-        balls = found.filter(_linked(percent)).select("a", "b")
-        covered = near.join(balls, ["a", "b"], "left_semi").select("pivot", F.col("b").alias("class"))
+        balls = found.filter(_linked(percent)).select("a", F.col("b").alias("class"))
+        covered = left.select("pivot", "class").join(balls, "class").join(
+            first, ["pivot", "a"], "left_semi").select("pivot", "class")
         covered = covered.union(first.select("pivot", F.col("a").alias("class"))).distinct()
         left = _merged(stage(left.join(covered, ["pivot", "class"], "left_anti")))
         leads *= 8
@@ -385,8 +412,7 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def regions(chunks: DataFrame, percent: int) -> DataFrame:
-    """Members (pivot, class, n, alone) of the regions that hold more than one class; of
-    regions with the same members, one.
+    """Members (pivot, class, n, alone) of the regions that hold more than one class, merged.
 
     ``alone`` is smallest for the sets that share most of their pivots. Such a set lies in
     the middle of its near copies, which differ from it less than from each other, so it

@@ -50,11 +50,11 @@ from lendmart.sources.snapshots import stage
 SHINGLE, PERCENT = 5, 80
 EXTRA = 20            # a window has one pivot more for every so many shingles
 FREQUENT, MOST_FREQUENT = 4, 1_000_000    # order of pivots only: rows of a block, list's bound
-BLOCK = 4_000_000     # shingles counted together
+BLOCK = 1_000_000     # shingles counted together
 BITMAP = 8            # words of 64 bits of a set's bitmap
 LARGE, MINIMA = 16, 4    # members of regions that may become one with others; hashes compared
 HOMES = 32            # regions of a set that are known where it meets others
-CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 2_000_000
+CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 1_000_000
 CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n binary, "
          "sizes binary, pivots binary, n_pivots long")
 

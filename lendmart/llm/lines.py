@@ -4,7 +4,7 @@ A line's path in the tree has a fixed depth: its number of tokens, then its lead
 tokens. Tokens with a digit are variable from the start. Within a leaf, a token that
 recurs at its place in enough documents is constant; every other field is generalised.
 What is left is the line's template. A template that enough documents share, with enough
-constant tokens, is boilerplate: its first occurrence in the corpus (smallest id, then
+constant tokens (all of them in lines of up to three tokens), is boilerplate: its first occurrence in the corpus (smallest id, then
 place) stays, all others are dropped.
 
 Every step is a grouped count or an equi-join, so it does not depend on the order in which
@@ -45,11 +45,9 @@ def _leaf(tokens: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(path.encode("utf-8", "surrogatepass")) >> 1
 
 
-def _tokens(line: str) -> list[str] | None:
-    """Tokens between white space, those with a digit generalised; None if too few."""
+def _tokens(line: str) -> list[str]:
+    """Tokens between white space, those with a digit generalised."""
     tokens = line.split()
-    if len(tokens) < MIN_CONSTANT:
-        return None
     if _DIGIT.search(line):
         return [FIELD if _DIGIT.search(x) else x for x in tokens]
     return tokens
@@ -111,7 +109,8 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
         F.array_sort(F.collect_list(F.struct("at", "token"))).alias("tokens")).select(
             "leaf", "own", F.transform("tokens", lambda x: x["token"]).alias("tokens"))
     solid = F.size(F.filter("tokens", lambda x: x != FIELD))
-    forms = stage(forms.filter((solid >= MIN_CONSTANT) & (solid >= SHARE * F.size("tokens"))).select(
+    least = F.least(F.lit(MIN_CONSTANT), F.size("tokens"))
+    forms = stage(forms.filter((solid >= least) & (solid >= SHARE * F.size("tokens"))).select(
         "leaf", "own", F.array_join("tokens", " ").alias("template")).withColumn(
             "form", F.xxhash64("template")))
     occurring = stage(found.select("d", "t", "line", "leaf", "own").join(

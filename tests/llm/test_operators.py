@@ -287,6 +287,15 @@ def test_line_dedup_generalises_fields(spark, awkward):
     assert lines.drop_lines(awkward).count() == len(AWKWARD)
 
 
+def test_line_dedup_drops_short_lines(spark):
+    texts = [(i, f"Les.\n日本語の行です\nown{'x' * i}\nAll rights reserved.\nPage {i}\n{i}\n")
+             for i in range(1, 5)]
+    got = by_id(lines.drop_lines(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert got[1]["text"] == texts[0][1]
+    assert {i: got[i]["text"] for i in (2, 3, 4)} == {
+        i: f"own{'x' * i}\nPage {i}\n{i}\n" for i in (2, 3, 4)}
+
+
 def check_shards(rows, texts, most):
     sizes = Counter()
     for s in range(24):

@@ -1,9 +1,10 @@
 """Line dedup by a tree of log templates.
 
 A line's path in the tree has a fixed depth: its number of tokens, then its leading
-tokens. Tokens with a digit are variable from the start. Within a leaf, a token that
-recurs at its place in enough documents is constant; every other field is generalised.
-What is left is the line's template. A template that enough documents share, with enough
+tokens. Tokens with a digit are variable from the start. Within a leaf, a token is
+constant at its place if enough documents have it there, and not far fewer than have the
+line's solid tokens: as many of its most frequent ones as a template needs. So a field's
+values stay fields however often each recurs. Every other field is generalised. What is left is the line's template. A template that enough documents share, with enough
 constant tokens (all of them in lines of up to three tokens), is boilerplate: its first occurrence in the corpus (smallest id, then
 place) stays, all others are dropped.
 
@@ -33,6 +34,7 @@ from lendmart.sources.snapshots import stage
 MIN_DOCS = 3          # documents that must share a template
 LEADING = 3           # leading tokens in a path
 MIN_CONSTANT, SHARE = 4, 0.7   # constant tokens of a template: at least, and share
+RELATIVE = 10         # constant tokens have one in so many documents of the solid ones
 FIELD = "<*>"
 
 
@@ -100,19 +102,22 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
         F.first("masked").alias("masked"), F.count_distinct(F.struct("d", "t")).alias("n"))
     tokens = stage(distinct.select("leaf", "own", "n", F.posexplode(F.split("masked", " "))
                                    .alias("at", "token")))
-    constant = stage(tokens.filter(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select(
-            "leaf", "at", "token", F.lit(True).alias("constant")))
-    fields = tokens.join(constant, ["leaf", "at", "token"], "left").select(
-        "leaf", "own", "at", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("token"))
+    often = stage(tokens.filter(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(
+        F.sum("n").alias("often")).filter(F.col("often") >= min_docs))
+    fields = tokens.drop("n").join(often, ["leaf", "at", "token"], "left").select(
+        "leaf", "own", "at", "token", F.coalesce("often", F.lit(0)).alias("often"))
     forms = fields.groupBy("leaf", "own").agg(
-        F.array_sort(F.collect_list(F.struct("at", "token"))).alias("tokens")).select(
-            "leaf", "own", F.transform("tokens", lambda x: x["token"]).alias("tokens"))
-    solid = F.size(F.filter("tokens", lambda x: x != FIELD))
-    least = F.least(F.lit(MIN_CONSTANT), F.size("tokens"))
-    forms = stage(forms.filter((solid >= least) & (solid >= SHARE * F.size("tokens"))).select(
-        "leaf", "own", F.array_join("tokens", " ").alias("template")).withColumn(
-            "form", F.xxhash64("template")))
+        F.array_sort(F.collect_list(F.struct("at", "token", "often"))).alias("tokens"))
+    n = F.size("tokens")
+    needed = F.greatest(F.least(F.lit(MIN_CONSTANT), n), F.ceil(SHARE * n).cast("int"))
+    solid = F.element_at(F.sort_array(F.transform("tokens", lambda x: x["often"]), False), needed)
+    # lines that share the constants of an absolute count share their solid tokens too, so a
+    # relative one only ever joins their templates
+    forms = stage(forms.withColumn("solid", solid).filter(F.col("solid") >= min_docs).select(
+        "leaf", "own", F.array_join(F.transform("tokens", lambda x: F.when(
+            (x["often"] >= min_docs) & (x["often"] * RELATIVE >= F.col("solid")), x["token"])
+            .otherwise(FIELD)), " ").alias("template")).withColumn(
+                "form", F.xxhash64("template")))
     occurring = stage(found.select("d", "t", "line", "leaf", "own").join(
         forms.select("leaf", "own", "form"), ["leaf", "own"]).drop("own"))
     shared = occurring.groupBy("leaf", "form").agg(

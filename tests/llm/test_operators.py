@@ -296,6 +296,65 @@ def test_line_dedup_drops_short_lines(spark):
         i: f"own{'x' * i}\nPage {i}\n{i}\n" for i in (2, 3, 4)}
 
 
+def kept(texts):
+    """{id: kept text} by the definition with lines of any length and relative constants."""
+    found, docs_of = [], defaultdict(set)
+    for i, text in texts:
+        for k, line in enumerate((text or "").split("\n")):
+            w = tuple(lines.FIELD if re.search("[0-9]", x) else x for x in line.split())
+            if w:
+                found.append((i, k, (len(w), w[:3]), w))
+                docs_of[found[-1][2]].add(i)
+    found = [x for x in found if len(docs_of[x[2]]) >= 3]
+    owners, tokens = defaultdict(set), Counter()
+    for i, _, leaf, w in found:
+        owners[leaf, w].add(i)
+    for (leaf, w), own in owners.items():
+        for at, x in enumerate(w):
+            if x != lines.FIELD:
+                tokens[leaf, at, x] += len(own)
+    sharing, places, form = defaultdict(set), defaultdict(list), {}
+    for leaf, w in owners:
+        often = [tokens[leaf, at, x] for at, x in enumerate(w)]
+        needed = max(min(4, len(w)), math.ceil(0.7 * len(w)))
+        solid = sorted(often, reverse=True)[needed - 1]
+        if solid >= 3:
+            form[leaf, w] = leaf, tuple(x if n >= 3 and 10 * n >= solid else lines.FIELD
+                                        for x, n in zip(w, often))
+    for i, k, leaf, w in found:
+        if (leaf, w) in form:
+            sharing[form[leaf, w]].add(i)
+            places[form[leaf, w]].append((i, k))
+    gone = {p for f, own in places.items() if len(sharing[f]) >= 3 for p in sorted(own)[1:]}
+    return {i: t and "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
+            for i, t in texts}
+
+
+def test_line_dedup_of_all_lines(spark, docs):
+    got = by_id(queries.QUERIES["op1_log_templates"](spark, SF))
+    whole, before = kept(docs), dropped(docs)
+    assert {i: r["text"] for i, r in got.items()} == whole
+    assert all(len(whole[i] or "") <= len(before[i] or "") for i in whole)
+
+
+def name(k):
+    return "v" + "".join(chr(97 + int(x)) for x in str(k))
+
+
+@pytest.mark.parametrize("n", [50, 1000, 40000])
+def test_line_dedup_generalises_frequent_values(spark, n):
+    """Fields without digits, each with 200 values, in a leaf that others share."""
+    rng = np.random.default_rng(3)
+    pairs = rng.integers(0, 200, (n, 2))
+    texts = [(i, f"please note that user {name(a)} from {name(b)} has signed in here today")
+             for i, (a, b) in enumerate(pairs)]
+    texts += [(n + i, "please note that all of these books were printed in London again")
+              for i in range(4)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    left = [r["doc_id"] for r in lines.drop_lines(df).filter("n_dropped = 0").collect()]
+    assert sorted(left) == [0, n]
+
+
 def check_shards(rows, texts, most):
     sizes = Counter()
     for s in range(24):

@@ -355,7 +355,7 @@ def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             first = _named(near.filter("first").drop("alone", "first"), "a_").withColumnRenamed(
                 "class", "a")
         first = stage(first)
-        # of two pivots, only the smaller asks; a pair meets in its first common region
+        # of two pivots, only the smaller asks, for both; a pair meets in its first common region
         common = F.array_min(F.array_intersect("led", "homes"))
         asked = _named(near, "b_").join(_some(left, "class", "homes"), "class").join(
             first.join(_some(first, "a", "led"), "a"), "pivot").filter(
@@ -366,6 +366,13 @@ def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if found is not None:
             asked = asked.join(found, ["a", "b"], "left_anti")
         measured = measure(asked, sets)
+        if leads > 1:  # the larger pivot has balls too, also in regions where it leads alone
+            known = measured if found is None else measured.unionByName(found)
+            both_ways = measured.join(first.select(F.col("a").alias("b")).distinct(), "b",
+                                      "left_semi").select(
+                F.col("b").alias("a"), F.col("a").alias("b"), "both", "either")
+            measured = measured.unionByName(
+                both_ways.join(known.select("a", "b"), ["a", "b"], "left_anti"))
         found = measured if found is None else stage(found.unionByName(measured))
         balls = found.filter(_linked(percent)).select("a", F.col("b").alias("class"))
         covered = left.select("pivot", "class").join(balls, "class").join(

@@ -159,6 +159,43 @@ def test_components_of_chains_and_awkward_rows(spark, awkward):
     assert jaccard.join_groups(awkward).count() == len(AWKWARD)
 
 
+def test_a_pair_of_pivots_counts_for_both(spark):
+    """10 and 20 lead region 1, but only 20, which holds 30, leads region 2."""
+    keys = {20: [*range(92), *range(200, 208)], 10: [*range(8, 100), *range(300, 308)],
+            30: [*range(100)], **{c: range(c * 1000, c * 1000 + 100) for c in range(40, 49)}}
+    sets, bits = [], {}
+    for c, own in keys.items():
+        own = np.sort(np.array(own, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        bits[c] = [int(x) for x in jaccard._bitmap(own)]
+        sets.append((c, own.tobytes(), 100, *bits[c]))
+    columns = ", ".join(f"{w} long" for w in jaccard.BITS)
+    sets = spark.createDataFrame(sets, f"class long, set binary, n long, {columns}")
+    regions = {1: [(40, 0), (20, 3), (10, 5)],
+               2: [(41, 0), *[(c, 2) for c in range(42, 49)], (20, 3), (10, 5), (30, 6)]}
+    members = [(p, c, 100, float(alone), *bits[c]) for p, own in regions.items()
+               for c, alone in own]
+    members = spark.createDataFrame(members, f"pivot long, class long, n long, alone double, {columns}")
+    links = jaccard._boundary(jaccard._balls(members, sets, 80), sets, 80)
+    assert {tuple(sorted(r)) for r in links.select("a", "b").collect()} == {(20, 30), (10, 30)}
+
+
+def test_components_of_random_families(spark):
+    """Families of 10 to 60 near copies, whose regions need several rounds."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(30):
+        base = [f"f{family}w{i}" for i in range(80)]
+        for _ in range(rng.integers(10, 61)):
+            text = list(base)
+            for k in range(rng.integers(0, 4)):
+                text[rng.integers(0, 80)] = f"x{rng.integers(0, 6)}"
+            rows.append((len(rows), " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in jaccard.join_groups(df).collect()}
+    assert got == B.components(rows)
+
+
 def test_language_model_counts(spark, docs):
     got = by_id(queries.QUERIES["op2_deleted_interpolation"](spark, SF))
     tokens = {i: [*B.words(t), None] for i, t in docs}

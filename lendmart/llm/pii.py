@@ -2,15 +2,18 @@
 
 Base entities (e-mail, IP address, card, phone) are found by pattern and are the seeds.
 Every seed, and every other token with a digit or ``@``, is an instance that occurs with
-lexical patterns: the word before or the words around it, together with the instance's
-shape. Scores then pass over the graph of patterns and instances:
+lexical patterns: the word before or the words around it, together with a coarse class of
+the instance (mail-like, with letters, long or short number). Scores then pass over the
+graph of patterns and instances:
 
-    pattern   = weight of its instances that are already believed / (instances + 1)
-    instance  = 1 for a seed, else its best trusted pattern's score
+    pattern   = weight of its instances believed to be of its kind
+                / (weight of its instances believed to be of any kind + 1)
+    instance  = 1 for a seed, else its best trusted pattern's score, of that one's kind
 
-A pattern is trusted with enough distinct seeds and a high score. After the last round the
-trusted patterns' instances that no base span covers are reported as spans of the
-pattern's kind. Base spans always stay.
+A pattern is trusted with enough distinct believed instances and a high score. Instances
+that nothing is known of yet do not count against it: they are what it is to find. After
+the last round the trusted patterns' instances that no base span covers are reported as
+spans of the pattern's kind. Base spans always stay.
 
 Offsets are code points, end exclusive. Null and empty texts have no spans. Rows equal in
 id and text get equal results. Results carry the id and the hash of the text; other input
@@ -150,17 +153,21 @@ def _in_order(a: Column, b: Column) -> Column:
     return F.when(less(a, b), -1).when(less(b, a), 1).otherwise(0)
 
 
-def _shape(token: Column) -> Column:
-    """Letters and digits of a token as classes; up to three digits count as one."""
-    return F.regexp_replace(F.regexp_replace(token, r"\p{L}+", "a"), "[0-9]{1,3}", "9")
+def _class(token: Column) -> Column:
+    """What a token looks like, roughly: base entities are mail-like or long numbers, which
+    are those of seven digits or four groups."""
+    digits = F.length(F.regexp_replace(token, "[^0-9]", ""))
+    return F.when(F.contains(token, F.lit("@")), "@").when(
+        F.regexp_like(token, F.lit(r"\p{L}")), "a").when(
+        (digits >= 7) | F.regexp_like(token, F.lit(r"(?:[0-9]+[^0-9]+){3}[0-9]")), "9").otherwise("1")
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
     """A row for each instance occurrence and pattern."""
     each = found.select("d", "t", F.explode(F.concat("base", "other")).alias("s")).select(
-        "d", "t", "s.*").withColumn("shape", _shape(F.col("token")))
-    patterns = F.array(F.concat_ws("\x1f", F.lit("L"), "left", "shape"),
-                       F.concat_ws("\x1f", F.lit("B"), "left", "right", "shape"))
+        "d", "t", "s.*").withColumn("class", _class(F.col("token")))
+    patterns = F.array(F.concat_ws("\x1f", F.lit("L"), "left", "class"),
+                       F.concat_ws("\x1f", F.lit("B"), "left", "right", "class"))
     return each.select("d", "t", "kind", "start", "end",
                        F.xxhash64(F.lower("token")).alias("instance"),
                        F.explode(patterns).alias("pattern"))
@@ -171,23 +178,28 @@ def trusted_patterns(graph: DataFrame, rounds: int = ROUNDS, min_seeds: int = MI
     """(pattern, kind, score) of the patterns to believe.
 
     ``graph``: one row (pattern, instance, kind) per pair, kind null where the instance is
-    no seed. Each round is two grouped sums; a frequent pattern or instance reaches the
+    no seed. Each round is a few grouped sums; a frequent pattern or instance reaches the
     shuffle as one row per task.
     """
-    seeds = graph.groupBy("pattern").agg(F.count("kind").alias("n"))
-    weights = graph.withColumn("believed", F.col("kind").isNotNull().cast("double"))
+    believed = graph.filter("kind IS NOT NULL").select("pattern", "kind", F.lit(1.0).alias("weight"))
     for last in [False] * (rounds - 1) + [True]:
-        scores = weights.groupBy("pattern").agg(
-            (F.sum("believed") / (F.count(F.lit(1)) + 1)).alias("score"),
-            F.count("kind").alias("seeds"), F.mode("kind", deterministic=True).alias("kind"))
-        scores = stage(scores.filter((F.col("seeds") >= min_seeds) & (F.col("score") >= trust)))
+        by_kind = believed.groupBy("pattern", "kind").agg(
+            F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+        top = F.max(F.struct("weight", (-F.col("kind")).alias("kind"), "n")).alias("top")
+        scores = by_kind.groupBy("pattern").agg(F.sum("weight").alias("all"), top).select(
+            "pattern", (-F.col("top.kind")).alias("kind"), F.col("top.n").alias("n"),
+            (F.col("top.weight") / (F.col("all") + 1)).alias("score"))
+        scores = stage(scores.filter((F.col("n") >= min_seeds) & (F.col("score") >= trust))
+                       .select("pattern", "kind", "score"))
         if last:
-            return scores.select("pattern", "kind", "score")
-        best = graph.filter("kind IS NULL").join(scores.select("pattern", "score"), "pattern") \
-            .groupBy("instance").agg(F.max("score").alias("best"))
-        weights = graph.join(best, "instance", "left").withColumn(
-            "believed", F.when(F.col("kind").isNotNull(), 1.0).otherwise(
-                F.coalesce("best", F.lit(0.0))))
+            return scores
+        found = graph.filter("kind IS NULL").select("pattern", "instance")
+        best = found.join(scores, "pattern").groupBy("instance").agg(
+            F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
+        believed = graph.filter("kind IS NOT NULL").select(
+            "pattern", "kind", F.lit(1.0).alias("weight")).unionByName(
+            found.join(best, "instance").select("pattern", (-F.col("best.kind")).alias("kind"),
+                                                F.col("best.score").alias("weight")))
 
 
 def _written(spans: Column) -> Column:

@@ -77,6 +77,21 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert more and all(s["kind"] == 2 for r in more for s in r["spans"])
 
 
+def test_contexts_discover_unseen_shapes(spark):
+    """With the parameters of production; the last context has only discovered instances."""
+    texts = [f"call me on +1 (988) 555-{1000 + i} soon" for i in range(20)]
+    texts += [f"call me on 977-444-{1000 + i} soon" for i in range(30)]
+    texts += [f"please dial 977-444-{1000 + i} or 12 now" for i in range(20)]
+    texts += ["please dial 966-333-1000 or 12 now", "call me on 12 soon", "room 977-555-1000 soon"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["d"]: [(s["kind"], texts[r["d"]][s["start"]:s["end"]]) for s in r["spans"]]
+           for r in pii.extract(df).collect()}
+    assert [got[i] for i in range(20)] == [[(3, f"+1 (988) 555-{1000 + i}")] for i in range(20)]
+    assert [got[20 + i] for i in range(30)] == [[(3, f"977-444-{1000 + i}")] for i in range(30)]
+    assert [got[50 + i] for i in range(20)] == [[(3, f"977-444-{1000 + i}")] for i in range(20)]
+    assert [got[i] for i in (70, 71, 72)] == [[(3, "966-333-1000")], [], []]
+
+
 def test_decontamination(spark, docs):
     items = [(r["item_id"], r["text"]) for r in
              spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -747,9 +747,8 @@ def maturity_timeline(spark, d):
 
 # --- models: fitted, hence without SQL ------------------------------------------------
 
-_LR_DRAWS = model.draws("lr", n=2)
-_GBT_DRAWS = [{"maxIter": 10, "maxDepth": 2, "stepSize": 0.1, "subsamplingRate": 0.8,
-               "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5}]
+_LR_DRAWS = model.draws("lr")
+_GBT_DRAWS = model.draws("gbt")
 
 
 @query()
@@ -776,7 +775,7 @@ def score_batch(spark, d):
     """Every customer scored by a logistic regression fitted on the labelled ones."""
     table = snapshots.stage(gold_with_ema(spark, d))
     rows, state = training_matrix(spark, d, table)
-    fitted = model.train(snapshots.stage(rows), state.names, "lr", _LR_DRAWS[:1])
+    fitted = model.train(snapshots.stage(rows), state.names, "lr", _LR_DRAWS)
     top = monitor.top_features(model.importances(spark, fitted)).collect()
     return score.score(table, fitted.model, state, fitted.threshold, "credit_model_2023_12_01",
                        "production", "2024-01-01", [state.source_of(r["feature"]) for r in top])

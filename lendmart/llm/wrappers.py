@@ -33,6 +33,7 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 import xxhash
@@ -45,6 +46,7 @@ from lendmart.sources.snapshots import stage
 FAN = 500        # structures or wrappers aligned at once
 SQUARE = 8       # elements of a repeated group that are not of one kind
 DEPTH = 100      # nested elements; deeper ones only divide blocks, unless they are left out
+LONG = 1_000_000  # pairs of children up to which alignments are longest
 CONSTANT = 3     # pages that must agree before a text counts as template
 HELD = 20_000    # structures that a task merges before it passes them on
 
@@ -85,6 +87,7 @@ _NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|/|$|=)|aria-hidden\s*=\s*[\"']?true|"
                      r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
+_END = {tag: re.compile(f"</{tag}[^>]*>", re.I | re.A) for tag in RAW}
 
 
 class Element:
@@ -99,19 +102,22 @@ class Element:
 
 
 class Text:
-    """A block of text: a hash while constant, None as a slot; ``blocks`` are a page's."""
+    """A block of text: a hash while constant, None as a slot; ``n`` is how many pages have
+    it, ``blocks`` are those of one page."""
 
-    __slots__ = ("label", "key", "blocks", "optional")
+    __slots__ = ("label", "key", "n", "blocks", "optional")
 
-    def __init__(self, label, key=None, blocks=(), optional=False):
-        self.label, self.key, self.blocks = label, key, list(blocks)
+    def __init__(self, label, key=None, n=1, blocks=(), optional=False):
+        self.label, self.key, self.n, self.blocks = label, key, n, list(blocks)
         self.optional = optional
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """Tag with its class, id and role, numbers generalised; whether it is left out."""
+    if not attributes:
+        return tag, tag in LEFT_OUT
     words, names = set(), []
-    if attributes:
+    if "=" in attributes:
         for name, value in _NAMES.findall(attributes):
             value = value.strip("\"'").lower()
             names.append(re.sub("[0-9]+", "0", value))
@@ -121,7 +127,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
         return tag, False
     if tag in ("article", "main"):
         return label, bool(words & FOREIGN)
-    hidden = bool(attributes) and _HIDDEN.search(attributes) is not None
+    hidden = _HIDDEN.search(attributes) is not None
     return label, hidden or tag in LEFT_OUT or bool(words & BOILERPLATE)
 
 
@@ -131,31 +137,35 @@ def parse(page: str) -> tuple[Element, list[str]]:
     stack: list[tuple[str, Element | None]] = [("", root)]  # None: inline or too deep
     pieces: list[str] = []
     links, all_links, at, size = 0, True, 0, len(page)
-    lower = None
 
     def flush():
         nonlocal all_links
+        if not pieces:
+            return
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            home = next(x for _, x in reversed(stack) if x is not None)
-            home.children.append(Text("L" if all_links else "T",
+            home().children.append(Text("L" if all_links else "T",
                                       xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 1,
-                                      [len(blocks)]))
+                                      1, [len(blocks)]))
             blocks.append(text)
         all_links = True
 
+    def home():
+        node = stack[-1][1]
+        return node if node is not None else next(x for _, x in reversed(stack) if x is not None)
+
     def say(raw):
         nonlocal all_links
-        if raw:
-            pieces.append(references.unescape(raw) if "&" in raw else raw)
-            if not links and not raw.isspace():
-                all_links = False
+        pieces.append(references.unescape(raw) if "&" in raw else raw)
+        if not links and not raw.isspace():
+            all_links = False
 
     def close(depth):
         nonlocal links
         flush()
-        links -= sum(tag == "a" for tag, _ in stack[depth:])
+        if links:
+            links -= sum(tag == "a" for tag, _ in stack[depth:])
         del stack[depth:]
 
     while at < size:
@@ -163,7 +173,8 @@ def parse(page: str) -> tuple[Element, list[str]]:
         if cut < 0:
             say(page[at:])
             break
-        say(page[at:cut])
+        if cut > at:
+            say(page[at:cut])
         if page.startswith("<!--", cut):
             end = page.find("-->", cut + 4)
             at = size if end < 0 else end + 3
@@ -183,12 +194,8 @@ def parse(page: str) -> tuple[Element, list[str]]:
         at = found.end()
         if tag in RAW:
             if not ending:
-                if lower is None:
-                    lower = page.lower() if page.isascii() else re.sub(
-                        "[A-Z]+", lambda m: m.group().lower(), page)
-                end = lower.find(f"</{tag}", at)
-                end = page.find(">", end) if end >= 0 else -1
-                at = size if end < 0 else end + 1
+                end = _END[tag].search(page, at)
+                at = end.end() if end else size
             continue
         if tag in VOID:
             if tag == "hr":
@@ -228,9 +235,8 @@ def parse(page: str) -> tuple[Element, list[str]]:
         if len(stack) > DEPTH and not left_out:
             stack.append((tag, None))
             continue
-        home = next(x for _, x in reversed(stack) if x is not None)
         node = Element(f"-{label}" if left_out else label)
-        home.children.append(node)
+        home().children.append(node)
         stack.append((tag, node))
     flush()
     return root, blocks
@@ -240,12 +246,14 @@ def _pair(a, b):
     """Alignment of two elements or texts with the same label."""
     optional = a.optional or b.optional
     if isinstance(a, Text):
-        return Text(a.label, a.key if a.key == b.key else None, a.blocks + b.blocks, optional)
+        return Text(a.label, a.key if a.key == b.key else None, a.n + b.n, a.blocks + b.blocks,
+                    optional)
     return Element(a.label, align(a.children, b.children), a.plus or b.plus, optional)
 
 
 def matches(a: list, b: list) -> list[tuple[int, int]]:
-    """Places of a longest common subsequence of two lists' labels."""
+    """Places of a longest common subsequence of two lists' labels; of very long lists, of
+    their longest common runs."""
     x, y = [n.label for n in a], [n.label for n in b]
     if x == y:
         return [(i, i) for i in range(len(x))]
@@ -256,6 +264,11 @@ def matches(a: list, b: list) -> list[tuple[int, int]]:
     while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail]:
         tail += 1
     m, n = x[head:len(x) - tail], y[head:len(y) - tail]
+    if len(m) * len(n) > LONG:
+        found = SequenceMatcher(None, m, n, autojunk=False).get_matching_blocks()
+        return [*[(i, i) for i in range(head)],
+                *[(head + a + k, head + b + k) for a, b, size in found for k in range(size)],
+                *[(len(x) - k, len(y) - k) for k in range(tail, 0, -1)]]
     best = [[0] * (len(n) + 1) for _ in range(len(m) + 1)]
     for i in range(len(m) - 1, -1, -1):
         row, below = best[i], best[i + 1]
@@ -333,12 +346,12 @@ def dump(node: Element) -> tuple[str, list[int | None]]:
     return json.dumps(plain(node), ensure_ascii=False, separators=(",", ":")), keys
 
 
-def load(structure: str, keys: list[int | None]) -> Element:
-    left = iter(keys)
+def load(structure: str, keys: list[int | None], counts: list[int]) -> Element:
+    left = iter(zip(keys, counts))
 
     def node(x):
         if isinstance(x, str):
-            return Text(x[0], next(left), (), x.endswith("?"))
+            return Text(x[0], *next(left), (), x.endswith("?"))
         return Element(x[0], [node(c) for c in x[2:]], "+" in x[1], "?" in x[1])
 
     return node(json.loads(structure))
@@ -356,7 +369,7 @@ def _regions(label: str, tag: str) -> tuple[bool, bool, bool]:
     return tag == "article", tag == "main" or "main" in words, bool(words & CONTENT)
 
 
-def mask(page: Element, wrapper: Element, pages: int) -> str:
+def mask(page: Element, wrapper: Element) -> str:
     """For each text of a page's structure, whether it is main text."""
     rows: list[tuple[bool, list[bool], bool, bool]] = []  # left out, regions, link, constant
 
@@ -365,7 +378,7 @@ def mask(page: Element, wrapper: Element, pages: int) -> str:
         for i, child in enumerate(children):
             other = others[place[i]] if i in place else None
             if isinstance(child, Text):
-                constant = other is not None and other.key is not None and not other.optional
+                constant = other is not None and other.key is not None and other.n >= CONSTANT
                 rows.append((left_out, list(regions), child.label == "L", constant))
                 continue
             outside, name = child.label.startswith("-"), child.label.lstrip("-")
@@ -387,7 +400,7 @@ def mask(page: Element, wrapper: Element, pages: int) -> str:
             break
     else:
         plain = [o and not r[2] for o, r in zip(open_, rows)]
-        kept = [p and not (r[3] and pages >= CONSTANT) for p, r in zip(plain, rows)]
+        kept = [p and not r[3] for p, r in zip(plain, rows)]
         kept = next((x for x in (kept, plain) if any(x)), open_)
     return "".join("1" if x else "0" for x in kept)
 
@@ -400,9 +413,9 @@ def _structure(page: str | None) -> tuple[Element, str, list, int, list[str]]:
         structure.encode("utf-8", "surrogatepass")) >> 1, blocks
 
 
-STRUCTURES = "host string, sid long, structure string, keys array<long>, pages long"
+STRUCTURES = "host string, sid long, structure string, keys array<long>, counts array<long>"
 _KINDS = pa.schema([("host", pa.string()), ("sid", pa.int64()), ("structure", pa.string()),
-                    ("keys", pa.list_(pa.int64())), ("pages", pa.int64())])
+                    ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
 
 def _same(a: list, b: list) -> list:
@@ -422,8 +435,8 @@ def _structures(batches):
         for at in range(0, batch.num_rows, 200):
             for host, page in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns)):
                 _, structure, keys, sid, _ = _structure(page)
-                own = held.setdefault((host, sid), [structure, keys, 0])
-                own[1], own[2] = _same(own[1], keys), own[2] + 1
+                own = held.setdefault((host, sid), [structure, keys, [0] * len(keys)])
+                own[1], own[2] = _same(own[1], keys), [n + 1 for n in own[2]]
             if len(held) > HELD:
                 yield from emit()
     yield from emit()
@@ -435,20 +448,21 @@ def _distinct(group: pa.Table) -> pa.Table:
     first = dict(rows[0])
     for row in rows[1:]:
         first["keys"] = _same(first["keys"], row["keys"])
-        first["pages"] += row["pages"]
+        first["counts"] = [a + b for a, b in zip(first["counts"], row["counts"])]
     return pa.Table.from_pylist([first], _KINDS)
 
 
 def _wrapper(group: pa.Table) -> pa.Table:
     """The wrapper of a group's structures or wrappers, in the order of their hashes."""
     rows = sorted(group.to_pylist(), key=lambda r: (r["sid"], r["structure"]))
-    tree = load(rows[0]["structure"], rows[0]["keys"])
-    for row in rows[1:]:
-        tree = Element(tree.label, align(tree.children, load(row["structure"], row["keys"]).children))
+    trees = [load(r["structure"], r["keys"], r["counts"]) for r in rows]
+    tree = trees[0]
+    for other in trees[1:]:
+        tree = Element(tree.label, align(tree.children, other.children))
     structure, keys = dump(tree)
     return pa.Table.from_pylist([{
         "host": rows[0]["host"], "sid": rows[0]["sid"], "structure": structure, "keys": keys,
-        "pages": sum(r["pages"] for r in rows)}], _KINDS)
+        "counts": [x.n for x in texts(tree)]}], _KINDS)
 
 
 def structures(pages: DataFrame) -> DataFrame:
@@ -474,7 +488,8 @@ def _masks(batches):
         out = []
         for r in batch.to_pylist():
             out.append({"host": r["host"], "sid": r["sid"], "mask": mask(
-                load(r["structure"], r["keys"]), load(r["wrapper"], r["constants"]), r["n"])})
+                load(r["structure"], r["keys"], r["counts"]),
+                load(r["wrapper"], r["constants"], r["n"]))})
         yield pa.RecordBatch.from_pylist(out, pa.schema(
             [("host", pa.string()), ("sid", pa.int64()), ("mask", pa.string())]))
 
@@ -516,7 +531,7 @@ def extract(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     formed = wrappers(found)
     masks = stage(found.join(formed.select(
         "host", F.col("structure").alias("wrapper"), F.col("keys").alias("constants"),
-        F.col("pages").alias("n")), "host").mapInArrow(_masks, "host string, sid long, mask string"))
+        F.col("counts").alias("n")), "host").mapInArrow(_masks, "host string, sid long, mask string"))
     schema = StructType([*rows.drop("html").schema, StructField("sid", LongType()),
                          StructField("blocks", ArrayType(StringType())),
                          StructField("places", ArrayType(IntegerType()))])

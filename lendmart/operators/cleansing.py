@@ -7,7 +7,6 @@ from pyspark.sql.types import NumericType, StructType
 
 from lendmart import constants as K
 from lendmart.functions import clean as C
-from lendmart.schemas import FINANCIALS_CLEAN_COLUMNS
 
 
 def attribute_rules() -> dict[str, Column]:
@@ -64,7 +63,8 @@ def clean_attributes(raw: DataFrame) -> DataFrame:
 
 
 def clean_financials(raw: DataFrame) -> DataFrame:
-    """Typed, guarded financials with the two consistency flags, in fixed column order."""
+    """Typed, guarded financials: the raw columns but the behaviour code, then what the rules
+    and the two consistency flags derive from them."""
     typed = raw.withColumns(financial_rules())
     flagged = typed.withColumns({
         "Income_Inconsistent": C.income_flag(F.col("Monthly_Inhand_Salary"),
@@ -72,7 +72,7 @@ def clean_financials(raw: DataFrame) -> DataFrame:
         "Delay_Inconsistent": C.delay_flag(F.col("Delay_from_due_date"),
                                            F.col("Num_of_Delayed_Payment")),
     })
-    return flagged.select(FINANCIALS_CLEAN_COLUMNS)
+    return flagged.drop("Payment_Behaviour")
 
 
 def project(df: DataFrame, schema: StructType) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lendmart import constants as K
+from lendmart.operators.asof import asof_join
 from lendmart.operators.ledger import one_label_per_customer
 from lendmart.sources.snapshots import stage
 
@@ -34,6 +35,14 @@ def training_set(labelled: DataFrame, features: DataFrame) -> DataFrame:
             .join(features, K.CUSTOMER, "left"))
 
 
+def training_set_asof(labelled: DataFrame, features: DataFrame) -> DataFrame:
+    """Labelled customers, one row each, with their newest feature slice up to the label's
+    date, which becomes label_date: features dated after the label are never used, and no
+    further slices multiply the rows. ``features`` has a row per customer and slice."""
+    return asof_join(labelled.withColumnRenamed(K.SNAPSHOT, "label_date"), features,
+                     K.CUSTOMER, "label_date", K.SNAPSHOT)
+
+
 def matured(scored: DataFrame, labelled: DataFrame, as_of=None) -> DataFrame:
     """Scored rows whose customer has a label, as known on ``as_of``.
 

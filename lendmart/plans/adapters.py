@@ -100,6 +100,22 @@ FINANCIALS = {
                      " CAST(1 + c_custkey % 12 AS INT), 1)",
 }
 
+def _mills(expr: str) -> str:
+    return f"CAST(({expr}) * 0.001 AS DECIMAL(14,3))"
+
+
+#: Amounts with three digits, many of them halfway between two cents.
+MONEY_TEXT = {
+    "Customer_ID": "'CUS_0x' || lower(hex(c_custkey))",
+    "Annual_Income": f"{_text(_mills('c_custkey * 7919005 % 90000000'))}"
+                     " || CASE WHEN c_custkey % 13 = 0 THEN '_' ELSE '' END",
+    "Monthly_Inhand_Salary": "CASE WHEN c_custkey % 29 = 0 THEN NULL"
+                             f" ELSE {_text(_mills('c_custkey * 5 % 7000000'))} END",
+    "Outstanding_Debt": f"{_text(_mills('(c_custkey * 3701 + 5) % 5000000'))}"
+                        " || CASE WHEN c_custkey % 23 = 0 THEN '_' ELSE '' END",
+    "Credit_Utilization_Ratio": _text(_mills("20000 + c_custkey * 3 % 20000")),
+}
+
 _DUE = "CASE WHEN l_orderkey % 97 = 0 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END"
 _OVERDUE = ("CASE WHEN l_returnflag = 'R' AND l_discount >= 0.01 THEN"
             " CAST(CAST(l_extendedprice AS DECIMAL(12,2))"
@@ -143,6 +159,14 @@ def _events_sum(kind: str, otherwise: str) -> str:
             f" ELSE {otherwise} END) AS DOUBLE)")
 
 
+#: What a customer had ordered by month, one slice per month.
+ORDER_SLICES = {
+    "Customer_ID": "'CUS_0x' || lower(hex(o_custkey))",
+    "snapshot_date": "CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE)",
+    "n_orders": "count(*)",
+    "spend": "CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE)",
+}
+
 PANEL = {c: _events_sum(kind, "0") for c, kind in zip(PANEL_COLUMNS, EVENT_TYPES)}
 PANEL_SPARSE = {c: _events_sum(kind, "NULL") for c, kind in zip(PANEL_COLUMNS, EVENT_TYPES)}
 
@@ -179,6 +203,18 @@ def panel(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
             .agg(*[F.expr(e).alias(n) for n, e in (PANEL_SPARSE if sparse else PANEL).items()]))
 
 
+def money_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*select_list(MONEY_TEXT))
+
+
+def order_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["Customer_ID", "snapshot_date"]
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        *[f"{ORDER_SLICES[k]} AS {k}" for k in keys], "o_totalprice")
+    return rows.groupBy(*keys).agg(
+        *[F.expr(e).alias(n) for n, e in ORDER_SLICES.items() if n not in keys])
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*select_list(SCORED))
 
@@ -201,4 +237,6 @@ ADAPTER_SQL = {
     "ad_panel": _panel_cte(PANEL),
     "ad_panel_sparse": _panel_cte(PANEL_SPARSE),
     "ad_scored": _cte(SCORED, "orders"),
+    "ad_money_text": _cte(MONEY_TEXT, "customer"),
+    "ad_order_slices": _cte(ORDER_SLICES, "orders GROUP BY 1, 2"),
 }

@@ -126,8 +126,8 @@ def multi_hot_sql() -> dict[str, str]:
             flag_sql(f"contains(Type_of_Loan, '{v}')") for v in LOAN_TYPES}
 
 
-def median_sql(c: str) -> str:
-    return f"(SELECT quantile_disc({c}, 0.5) FROM sv_customer)"
+def median_sql(c: str, source: str = "sv_customer") -> str:
+    return f"(SELECT quantile_disc({c}, 0.5) FROM {source})"
 
 
 def uniform_sql(key: str, seed: str) -> str:
@@ -135,7 +135,7 @@ def uniform_sql(key: str, seed: str) -> str:
             " / CAST(4294967296 AS DOUBLE)")
 
 
-def _imputed(c: str, source: str) -> str:
+def _imputed(c: str, source: str, fitted_on: str | None = None) -> str:
     """Customer_ID and the column with Unknown replaced by a proportional draw."""
     return f"""
 SELECT t.Customer_ID, CASE WHEN t.{c} IN ('Unknown', '') THEN s.value ELSE t.{c} END AS {c}
@@ -147,7 +147,7 @@ JOIN (SELECT value,
                / CAST(sum(n) OVER () AS DOUBLE) AS lo,
              CAST(sum(n) OVER (ORDER BY value) AS DOUBLE)
                / CAST(sum(n) OVER () AS DOUBLE) AS hi
-      FROM (SELECT {c} AS value, count(*) AS n FROM {source}
+      FROM (SELECT {c} AS value, count(*) AS n FROM {fitted_on or source}
             WHERE {c} NOT IN ('Unknown', '') GROUP BY 1)) s
   ON t.u >= s.lo AND t.u < s.hi"""
 
@@ -162,18 +162,19 @@ GOLD_NUMERIC = [
 ]
 
 
-def _gold_fitted() -> str:
+def _gold_fitted(fitted_on: str = "sv_customer", spent: str = "gf_spent",
+                 value: str = "gf_value") -> str:
     """Customers with medians and draws filled in."""
-    filled = {c: f"coalesce({c}, {median_sql(c)})" for c in K.MEDIAN_COLUMNS}
+    filled = {c: f"coalesce({c}, {median_sql(c, fitted_on)})" for c in K.MEDIAN_COLUMNS}
     return f"""
 SELECT c.* REPLACE ({_replaced(filled)}, s.Spent_Level AS Spent_Level,
                     v.Value_Payments AS Value_Payments)
 FROM sv_customer c
-LEFT JOIN gf_spent s ON s.Customer_ID = c.Customer_ID
-LEFT JOIN gf_value v ON v.Customer_ID = c.Customer_ID"""
+LEFT JOIN {spent} s ON s.Customer_ID = c.Customer_ID
+LEFT JOIN {value} v ON v.Customer_ID = c.Customer_ID"""
 
 
-def _gold() -> str:
+def _gold(source: str = "gf_customer") -> str:
     columns = {c: c for c in ["Customer_ID", "snapshot_date"] + GOLD_NUMERIC}
     mix = codes_sql("Credit_Mix", K.CREDIT_MIX_CODES)
     columns["Credit_Mix"] = mix
@@ -187,7 +188,7 @@ def _gold() -> str:
     for c in K.BINS:
         columns[f"{c}_binned"] = bin_sql(c)
     return ("SELECT " + ", ".join(f"{e} AS {quoted(n)}" for n, e in columns.items())
-            + " FROM gf_customer")
+            + f" FROM {source}")
 
 
 GOLD_COLUMNS = (["Customer_ID", "snapshot_date"] + GOLD_NUMERIC + ["Credit_Mix_Known"]
@@ -280,6 +281,13 @@ FROM lb_labels GROUP BY Customer_ID""",
     "gf_value": _imputed("Value_Payments", "sv_customer"),
     "gf_customer": _gold_fitted(),
     "gf_gold": _gold(),
+    "tr_customer": """
+SELECT c.* FROM sv_customer c
+WHERE c.Customer_ID IN (SELECT Customer_ID FROM tr_split WHERE split = 'train')""",
+    "gf_spent_train": _imputed("Spent_Level", "sv_customer", "tr_customer"),
+    "gf_value_train": _imputed("Value_Payments", "sv_customer", "tr_customer"),
+    "gf_customer_train": _gold_fitted("tr_customer", "gf_spent_train", "gf_value_train"),
+    "gf_gold_train": _gold("gf_customer_train"),
     "em_rows": "SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY snapshot_date)"
                " AS i FROM ad_panel",
     "em_running": _ema_running(),

@@ -1,8 +1,9 @@
 """The monthly run: land, cleanse, build features and labels, train, score, monitor.
 
 Any scheduler may call these with a snapshot date. Every step reads and writes
-partitioned tables under one root, replaces only its own slice, and can be run
-again or skipped when its slice is there.
+tables under one root, replaces only its own slice, and can be run again or skipped
+when its slice is there. Raw and cleansed tables are partitioned by snapshot; those
+that later steps read while others write are published slice by slice.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendmart import constants as K, schemas
-from lendmart.operators import (cleansing, drift, features, joins, ledger, matrix, metrics,
-                                model as M, monitor, panel, ranks, score as S, split)
+from lendmart.operators import (cleansing, drift, ema_state, features, joins, ledger, matrix,
+                                metrics, model as M, monitor, ranks, score as S, split)
 from lendmart.session import tune
-from lendmart.sources import snapshots as tables
+from lendmart.sources import published, snapshots as tables
 
 SOURCES = {
     "attributes": schemas.ATTRIBUTES_RAW,
@@ -25,6 +26,12 @@ SOURCES = {
     "panel": schemas.PANEL_RAW,
 }
 PANEL_TABLE = "silver/panel"
+MAPS_TABLE, AVERAGES_TABLE = "silver/panel_maps", "gold/averages"
+FEATURES_TABLE, STATES_TABLE = "gold/features", "registry/feature_states"
+SCORES_TABLE, MODELS_TABLE = "gold/scores", "registry/models"
+#: Tables read through their manifest; the others are partitioned by snapshot.
+PUBLISHED = {MAPS_TABLE, AVERAGES_TABLE, FEATURES_TABLE, STATES_TABLE, SCORES_TABLE,
+             MODELS_TABLE}
 
 
 @dataclass(frozen=True)
@@ -41,19 +48,32 @@ class Mart:
         return f"{self.root}/{table}"
 
     def read(self, table: str, snapshot_date=None) -> DataFrame:
+        if table in PUBLISHED:
+            return published.read(self.spark, self.path(table), snapshot_date)
         if snapshot_date is None:
             return tables.read_table(self.spark, self.path(table))
         return tables.read_snapshot(self.spark, self.path(table), snapshot_date)
 
     def exists(self, table: str) -> bool:
+        if table in PUBLISHED:
+            return bool(published.held(self.spark, self.path(table)))
         return tables.table_exists(self.spark, self.path(table))
 
     def loaded(self, table: str, value, column: str = K.SNAPSHOT) -> bool:
+        if table in PUBLISHED:
+            return published.is_published(self.spark, self.path(table), value)
         return tables.is_loaded(self.spark, self.path(table), value, column)
 
     def write(self, df: DataFrame, table: str, by=(K.SNAPSHOT,), value=None) -> None:
         tables.write_slices(df, self.path(table), by, value=value)
 
+    def publish(self, df: DataFrame, table: str, value, note: str = "") -> None:
+        published.publish(df, self.path(table), value, note)
+
+    def newest(self, table: str, upto, before: bool = False) -> str | None:
+        """The last published slice up to a date."""
+        return published.newest_upto(self.spark, self.path(table), upto, before)
+
 
 def land(mart: Mart, source: str, csv_path: str, snapshot_date, mode: str = "skip") -> bool:
     """One month of a raw CSV into its landing table, as text."""
@@ -96,29 +116,63 @@ def build_labels(mart: Mart, snapshot_date, dpd: int = K.DEFAULT_DPD, mob: int =
     return tables.write_slices(rows, mart.path("gold/labels"), mode=mode, value=snapshot_date)
 
 
+def update_averages(mart: Mart, snapshot_date, mode: str = "skip") -> bool:
+    """Add a month to the moving averages. Reads that month of the panel and the newest
+    state before it. A month that comes late, or again, is summarised anew; the states after
+    it are composed again from the months' summaries, without their panel rows."""
+    if mode == "skip" and mart.loaded(MAPS_TABLE, snapshot_date):
+        return False
+    month = mart.read(PANEL_TABLE, snapshot_date)
+    mart.publish(ema_state.summarise(month, K.PANEL_COLUMNS), MAPS_TABLE, snapshot_date)
+    dates = [r["slice"] for r in published.entries(mart.spark, mart.path(MAPS_TABLE))]
+    for date in [d for d in dates if d >= str(snapshot_date)]:
+        state, before = mart.read(MAPS_TABLE, date), mart.newest(AVERAGES_TABLE, date, before=True)
+        if before is not None:
+            state = ema_state.advance(mart.read(AVERAGES_TABLE, before), state)
+        mart.publish(state, AVERAGES_TABLE, date)
+    return True
+
+
+def fit_state(mart: Mart, as_of) -> features.FeatureState:
+    """Fit the feature statistics on all customers up to a date and register them for it."""
+    known = mart.read("silver/customers").filter(
+        F.col(K.SNAPSHOT) <= F.lit(str(as_of)).cast("date"))
+    state = features.fit_features(known)
+    mart.publish(state.to_frame(mart.spark), STATES_TABLE, as_of)
+    return state
+
+
+def feature_state(mart: Mart, as_of) -> tuple[str, features.FeatureState]:
+    """The newest statistics fitted up to a date, and that date; fitted for it if there are
+    none. A later state never changes what an earlier month is built with."""
+    version = mart.newest(STATES_TABLE, as_of)
+    if version is None:
+        return str(as_of), fit_state(mart, as_of)
+    return version, features.FeatureState.from_frame(mart.read(STATES_TABLE, version))
+
+
 def build_features(mart: Mart, snapshot_date, mode: str = "skip",
-                   state: features.FeatureState | None = None,
-                   dense_panel: bool = False) -> bool:
-    """The month's feature slice. Without a state the statistics are the month's own;
-    with a state (fitted on the training range) they are the state's, and a month has
-    the same columns as every other. ``dense_panel`` states that no panel value is
-    missing, which allows the cheaper moving average."""
-    if mode == "skip" and mart.loaded("gold/features", snapshot_date):
+                   state: features.FeatureState | None = None) -> bool:
+    """The month's feature slice, published whole. Its statistics are those of the state
+    given, or of the newest state fitted up to the month, whose date the manifest notes. All
+    slices share one schema: the columns of the states used so far, null where a slice was
+    built before a category was known."""
+    if mode == "skip" and mart.loaded(FEATURES_TABLE, snapshot_date):
         return False
-    customers = mart.read("silver/customers", snapshot_date)
-    state = state or features.fit_features(customers)
-    rows = features.apply_features(customers, state)
-    if mart.exists(PANEL_TABLE):
-        average = panel.ema_latest if dense_panel else panel.ema_latest_sparse
-        ema = average(mart.read(PANEL_TABLE), K.PANEL_COLUMNS, as_of=snapshot_date)
-        rows = joins.with_ema(rows, ema)
-    mart.write(rows, "gold/features")
+    version = "given"
+    if state is None:
+        version, state = feature_state(mart, snapshot_date)
+    rows = features.apply_features(mart.read("silver/customers", snapshot_date), state)
+    averaged = mart.newest(AVERAGES_TABLE, snapshot_date)
+    if averaged is not None:
+        rows = joins.with_ema(rows, ema_state.averages(mart.read(AVERAGES_TABLE, averaged)))
+    mart.publish(rows, FEATURES_TABLE, snapshot_date, note=version)
     return True
 
 
 def feature_store(mart: Mart) -> DataFrame:
-    """All months; a month with other category columns never hides the history."""
-    return mart.spark.read.option("mergeSchema", True).parquet(mart.path("gold/features"))
+    """All months under the table's one schema, which comes from the manifest."""
+    return mart.read(FEATURES_TABLE)
 
 
 def version_of(snapshot_date) -> str:
@@ -127,11 +181,11 @@ def version_of(snapshot_date) -> str:
 
 def training_matrix(mart: Mart, as_of) -> tuple[DataFrame, matrix.MatrixState, DataFrame]:
     """Staged training rows, the fitted matrix and the staged matrix, from the labels
-    known as of a date."""
+    known as of a date. A customer is one row, with the features known at its label."""
     known = mart.read("gold/labels").filter(
         F.col(K.SNAPSHOT) <= F.lit(str(as_of)).cast("date"))
-    labelled = split.split_sets(known, date=K.SNAPSHOT)
-    rows = tables.stage(joins.training_set(labelled, feature_store(mart)))
+    labelled = split.split_sets(ledger.one_label_per_customer(known), date=K.SNAPSHOT)
+    rows = tables.stage(joins.training_set_asof(labelled, feature_store(mart)))
     state = matrix.fit_matrix(rows, fit_on=rows.filter(F.col("split") == "train"))
     return rows, state, tables.stage(
         matrix.feature_matrix(rows, state, keep=[K.CUSTOMER, "label", "split"]))
@@ -142,7 +196,7 @@ def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None =
     """Train the candidates, keep the champion by out-of-time Gini, register it, and
     store its drift baseline. Does nothing for a month without features. Returns the
     metrics table."""
-    if not mart.loaded("gold/features", snapshot_date):
+    if not mart.loaded(FEATURES_TABLE, snapshot_date):
         return None
     spark, trained_on = mart.spark, F.lit(str(snapshot_date)).cast("date")
     rows, state, data = training_matrix(mart, snapshot_date)
@@ -161,10 +215,12 @@ def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None =
     best.model.write().overwrite().save(mart.path(f"models/{version}"))
     state.to_frame(spark).write.mode("overwrite").parquet(mart.path(f"models/{version}_matrix"))
     top = [r["feature"] for r in monitor.top_features(M.importances(spark, best)).collect()]
-    mart.write(tables.small_table(
-        spark, [(version, best.kind, float(best.threshold), top, str(best.params))],
-        "model_version string, kind string, threshold double, top array<string>, params string")
-        .withColumn("trained", trained_on), "registry/models", ["trained"])
+    mart.publish(tables.small_table(
+        spark, [(version, model_name(mart, version), best.kind, float(best.threshold), top,
+                 str(best.params))],
+        "model_version string, model_label string, kind string, threshold double,"
+        " top array<string>, params string").withColumn("trained", trained_on),
+        MODELS_TABLE, snapshot_date)
     save_baseline(mart, version, rows, data, state, best, top)
     return results
 
@@ -202,18 +258,27 @@ def load_baseline(mart: Mart, version: str):
 
 
 def registry(mart: Mart) -> DataFrame:
-    """Registered models with their names, in training order."""
-    models = mart.read("registry/models")
-    names = monitor.register(models.select("model_version", "trained"))
-    return models.join(names.drop("trained"), "model_version")
+    """Registered models with the names they were given."""
+    return mart.read(MODELS_TABLE)
+
+
+def model_name(mart: Mart, version: str) -> str:
+    """The name of a model, given once: 'production' to the first one registered, autoML1,
+    autoML2, ... to the next, whatever months they are for. A model trained again keeps it,
+    so names in stored scores stay true on a backfill."""
+    if not mart.exists(MODELS_TABLE):
+        return "production"
+    names = {r["model_version"]: r["model_label"]
+             for r in registry(mart).select("model_version", "model_label").collect()}
+    return names.get(version) or f"autoML{len(names)}"
 
 
 def score_month(mart: Mart, inference_date, mode: str = "skip") -> bool:
     """Score the month with production and last month's model. Does nothing where no
     model was trained before the month or the month has no features."""
-    if not mart.exists("registry/models"):
+    if not mart.exists(MODELS_TABLE):
         return False
-    if mode == "skip" and mart.loaded("gold/scores", inference_date, "inference_date"):
+    if mode == "skip" and mart.loaded(SCORES_TABLE, inference_date):
         return False
     known = registry(mart)
     batch = mart.spark.range(1).select(
@@ -221,9 +286,9 @@ def score_month(mart: Mart, inference_date, mode: str = "skip") -> bool:
     chosen = (joins.models_for(known.select("model_label", "model_version", "trained"), batch)
               .join(known.select("model_version", "threshold", "top"), "model_version")
               .collect())
-    if not chosen or not mart.loaded("gold/features", inference_date):
+    if not chosen or not mart.loaded(FEATURES_TABLE, inference_date):
         return False
-    rows = tables.snapshot_of(feature_store(mart), inference_date)
+    rows = mart.read(FEATURES_TABLE, inference_date)
     parts = []
     for m in sorted(chosen, key=lambda r: r["model_label"]):
         version = m["model_version"]
@@ -232,8 +297,7 @@ def score_month(mart: Mart, inference_date, mode: str = "skip") -> bool:
         shown = [state.source_of(f) for f in m["top"]]
         parts.append(S.score(rows, model, state, m["threshold"], version, m["model_label"],
                              inference_date, shown))
-    mart.write(S.score_all(parts), "gold/scores", ["inference_date", "model_label"],
-               inference_date)
+    mart.publish(S.score_all(parts), SCORES_TABLE, inference_date)
     return True
 
 
@@ -242,10 +306,10 @@ def monitor_month(mart: Mart, monitor_date) -> dict[str, DataFrame]:
 
     Each of the three is one grouped job over all batches, written per batch.
     """
-    if not mart.exists("gold/scores"):
+    if not mart.exists(SCORES_TABLE):
         return {}
     spark, stamp = mart.spark, F.lit(str(monitor_date)).cast("date")
-    scores = spark.read.option("mergeSchema", True).parquet(mart.path("gold/scores"))
+    scores = mart.read(SCORES_TABLE)
     production = registry(mart).filter(F.col("model_label") == "production").first()
     expected, base = load_baseline(mart, production["model_version"])
     served = scores.filter(F.col("model_label") == "production")
@@ -277,6 +341,7 @@ def run(mart: Mart, snapshot_date, sources: dict[str, str], train: bool = True,
         build_labels(mart, snapshot_date, mode=mode)
     if mart.exists("bronze/panel"):
         build_panel(mart, snapshot_date, mode)
+        update_averages(mart, snapshot_date, mode)
     if mart.loaded("bronze/attributes", snapshot_date):
         build_customers(mart, snapshot_date, mode)
         build_features(mart, snapshot_date, mode)

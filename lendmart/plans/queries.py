@@ -7,21 +7,22 @@ result is a fitted model's.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendmart import constants as K
 from lendmart.functions import clean as C, encode as E
-from lendmart.operators import (cleansing, drift, features, joins, ledger, matrix, metrics,
-                                model, monitor, panel, ranks, score, split, stats)
+from lendmart.operators import (cleansing, drift, ema_state, features, joins, ledger, matrix,
+                                metrics, model, monitor, panel, ranks, score, split, stats)
 from lendmart.plans import adapters as A
 from lendmart.plans.checks import (GOLD_COLUMNS, LOAN_TYPES, OCCUPATIONS, bin_sql, codes_sql,
                                    csi_sql, flag_sql, matrix_sql, median_sql, metrics_sql,
                                    multi_hot_sql, one_hot_sql, oracle, quoted)
 from lendmart.schemas import LEDGER
 from lendmart.session import tune
-from lendmart.sources import snapshots
+from lendmart.sources import published, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,6 +135,20 @@ def list_batches(spark, d):
     return snapshots.list_slices(A.scored(spark, d), "inference_date", "model_label")
 
 
+@query("SELECT CAST(snapshot_date AS VARCHAR) AS slice, count(*) AS rows FROM ad_order_slices"
+       " GROUP BY 1")
+def slice_manifest(spark, d):
+    """The months of a published table and their sizes, read from its manifest. The last
+    month is published twice, at first with every row; readers see the second version."""
+    path = f"{snapshots.checkpoint_folder(spark)}/published-{uuid.uuid4().hex}"
+    rows = snapshots.stage(A.order_slices(spark, d))
+    last = rows.agg(F.max("snapshot_date")).first()[0]
+    if last is not None:
+        published.publish(rows, path, last)
+        published.publish_slices(rows, path, "snapshot_date")
+    return published.slices(spark, path).select("slice", "rows")
+
+
 # --- cleansing -------------------------------------------------------------------
 
 def _clean(spark, d, *columns, source=None):
@@ -169,11 +184,19 @@ def sentinel_clean(spark, d):
                   "Amount_Invested_Monthly", "Monthly_Balance", source=A.financials)
 
 
-@query("SELECT Customer_ID, Annual_Income, Monthly_Inhand_Salary, Outstanding_Debt,"
-       " Credit_Utilization_Ratio FROM sv_financials")
+def _cents_sql(c: str) -> str:
+    return (f"CAST(CAST(CAST(replace({c}, '_', '') AS DECIMAL(18,3)) AS DECIMAL(18,2)) AS DOUBLE)"
+            f" AS {c}")
+
+
+_AMOUNTS = ["Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt",
+          "Credit_Utilization_Ratio"]
+
+
+@query(f"SELECT Customer_ID, {', '.join(map(_cents_sql, _AMOUNTS))} FROM ad_money_text")
 def money_round(spark, d):
-    return _clean(spark, d, "Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt",
-                  "Credit_Utilization_Ratio", source=A.financials)
+    """Amounts of three digits to cents, half up."""
+    return _clean(spark, d, *_AMOUNTS, source=A.money_text)
 
 
 @query("SELECT Customer_ID, Income_Inconsistent, Delay_Inconsistent FROM sv_financials")
@@ -283,6 +306,15 @@ def training_set(spark, d):
     return rounded(joins.training_set(split_labels(spark, d), gold_with_ema(spark, d)))
 
 
+@query("""
+SELECT l.Customer_ID, l.label, l.snapshot_date AS label_date, f.snapshot_date, f.n_orders, f.spend
+FROM lb_customer l ASOF LEFT JOIN ad_order_slices f
+  ON f.Customer_ID = l.Customer_ID AND l.snapshot_date >= f.snapshot_date""")
+def training_set_asof(spark, d):
+    """Labelled customers with their newest month of orders up to the label, if any."""
+    return joins.training_set_asof(customer_labels(spark, d), A.order_slices(spark, d))
+
+
 @query("""SELECT Customer_ID, loan_id, score, prediction, model_label, inference_date,
                  label, label_date FROM sc_matured""")
 def matured_scores(spark, d):
@@ -419,6 +451,32 @@ def ema_latest_sparse(spark, d):
     return panel.ema_latest_sparse(A.panel(spark, d, sparse=True), A.PANEL_COLUMNS)
 
 
+_EMA_START, _EMA_DAYS = "2024-01-01", 6  # slices of the incremental average
+
+
+@query("SELECT Customer_ID, " + ", ".join(
+    f"round(arg_max(struct_pack(v := y_{c}), i).v, 6) AS ema_{c}" for c in A.PANEL_COLUMNS)
+    + " FROM em_sparse GROUP BY Customer_ID")
+def ema_incremental(spark, d):
+    """The averages after slices of the panel that were added one by one, the second one
+    late: each slice is read once, the states after the late one are composed again."""
+    slice_ = F.floor(F.datediff(K.SNAPSHOT, F.lit(_EMA_START).cast("date")) / _EMA_DAYS)
+    path = f"{snapshots.checkpoint_folder(spark)}/panel-{uuid.uuid4().hex}"
+    snapshots.write_slices(A.panel(spark, d, sparse=True).withColumn("slice", slice_), path,
+                           by=["slice"])
+    rows = spark.read.parquet(path)
+    order = sorted(r[0] for r in rows.select("slice").distinct().collect())
+    maps, states = {}, {}
+    for arrived in order[:1] + order[2:] + order[1:2]:
+        maps[arrived] = snapshots.stage(ema_state.summarise(
+            rows.filter(F.col("slice") == arrived), A.PANEL_COLUMNS))
+        for at in [x for x in sorted(maps) if x >= arrived]:
+            before = max((x for x in states if x < at), default=None)
+            states[at] = maps[at] if before is None else snapshots.stage(
+                ema_state.advance(states[before], maps[at]))
+    return rounded(ema_state.averages(states[order[-1]]))
+
+
 @query("SELECT Customer_ID, snapshot_date, " + ", ".join(A.EMA_COLUMNS) + " FROM em_running")
 def ema_running(spark, d):
     return panel.ema_running(A.panel(spark, d), A.PANEL_COLUMNS)
@@ -502,6 +560,15 @@ def gold_features_wide(spark, d):
     return gold(spark, d)
 
 
+@query("SELECT " + ", ".join(quoted(c) for c in GOLD_COLUMNS) + " FROM gf_gold_train")
+def features_fitted_on_train(spark, d):
+    """All customers transformed by statistics that only the train split has seen."""
+    customers = staged_customers(spark, d)
+    train = split_labels(spark, d).filter(F.col("split") == "train").select(K.CUSTOMER)
+    state = features.fit_features(customers.join(train, K.CUSTOMER, "left_semi"))
+    return features.apply_features(customers, state)
+
+
 # --- datasets --------------------------------------------------------------------
 
 @query("SELECT * FROM tr_oot")
@@ -630,22 +697,30 @@ def champion(spark, d):
     return monitor.champion(candidate_metrics(spark, d))
 
 
-_IMPORTANCE = ["o_totalprice", "floor_value", "weekday", "score"]
+_IMPORTANCE = {
+    "o_totalprice": "o_totalprice", "floor_value": "floor_value", "weekday": "weekday",
+    "score": "score", "prediction": "prediction", "log_price": "ln(o_totalprice)",
+    "root_price": "sqrt(o_totalprice)", "loan_number": "CAST(loan_id AS BIGINT) % 1000",
+    "priority": "CAST(substr(o_orderpriority, 1, 1) AS INTEGER)",
+    "month": "month(inference_date)", "year": "year(inference_date)",
+    "automl": "CASE WHEN model_label = 'production' THEN 0 ELSE 1 END",
+}
 
 
 _IMPORTANCE_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(abs(corr({c}, CAST(label AS DOUBLE))), 6) AS importance"
-    " FROM ad_scored" for c in _IMPORTANCE)
+    f"SELECT '{c}' AS feature, round(abs(corr(CAST({e} AS DOUBLE), CAST(label AS DOUBLE))), 6)"
+    " AS importance FROM ad_scored" for c, e in _IMPORTANCE.items())
 
 
-@query(f"SELECT * FROM ({_IMPORTANCE_SQL}) ORDER BY importance DESC, feature LIMIT 3")
+@query(f"SELECT * FROM ({_IMPORTANCE_SQL}) ORDER BY importance DESC, feature LIMIT 10")
 def top_features(spark, d):
-    """The three strongest columns by correlation with the label."""
+    """The ten strongest of twelve columns by correlation with the label."""
     rows = A.scored(spark, d)
-    table = rows.agg(*[F.round(F.abs(F.corr(F.col(c).cast("double"),
+    table = rows.agg(*[F.round(F.abs(F.corr(F.expr(e).cast("double"),
                                             F.col("label").cast("double"))), 6).alias(c)
-                       for c in _IMPORTANCE])
-    return monitor.top_features(table.unpivot([], _IMPORTANCE, "feature", "importance"), 3)
+                       for c, e in _IMPORTANCE.items()])
+    return monitor.top_features(
+        table.unpivot([], list(_IMPORTANCE), "feature", "importance"))
 
 
 # --- drift and monitoring ------------------------------------------------------------
@@ -710,22 +785,28 @@ def _status_sql(c: str) -> str:
 SELECT inference_date, 'psi' AS metric, psi AS value, {_status_sql('psi')} AS status FROM sc_psi
 UNION ALL
 SELECT inference_date, 'csi_' || feature, csi, {_status_sql('csi')}
-FROM ({csi_sql({'weekday': 'discrete', 'o_totalprice': 'continuous'})})
+FROM ({csi_sql({'o_totalprice': 'continuous', 'floor_value': 'continuous',
+                'o_orderpriority': 'discrete', 'weekday': 'discrete'})})
 UNION ALL
 SELECT inference_date, 'gini_' || model_label, gini, {_status_sql('gini')}
+FROM ({_PERF}) WHERE gini IS NOT NULL
+UNION ALL
+SELECT inference_date, 'recall_' || model_label, recall, {_status_sql('recall')}
 FROM ({_PERF}) WHERE gini IS NOT NULL""")
 def drift_status(spark, d):
-    """Green / yellow / red per batch and metric."""
+    """Green / yellow / red per batch and metric: label mix, all monitored features, and
+    Gini and recall of every model."""
     def banded(df, metric, name):
         out = monitor.with_status(df, metric)
         return out.select("inference_date", name.alias("metric"), F.col(metric).alias("value"),
                           F.col(f"{metric}_status").alias("status"))
     psi_rows = banded(psi_table(spark, d), "psi", F.lit("psi"))
-    csi_rows = banded(_csi(spark, d, ["weekday", "o_totalprice"]), "csi",
+    csi_rows = banded(_csi(spark, d, A.DRIFT_FEATURES), "csi",
                       F.concat(F.lit("csi_"), F.col("feature")))
-    gini_rows = banded(performance(spark, d), "gini",
-                       F.concat(F.lit("gini_"), F.col("model_label")))
-    return psi_rows.unionByName(csi_rows).unionByName(gini_rows)
+    measured = snapshots.stage(performance(spark, d))  # a row per batch and model
+    rows = [banded(measured, m, F.concat(F.lit(f"{m}_"), F.col("model_label")))
+            for m in ("gini", "recall")]
+    return psi_rows.unionByName(csi_rows).unionByName(rows[0]).unionByName(rows[1])
 
 
 @query(f"""

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from lendmart import constants as K
-from lendmart.operators.ranks import place, quantiles, sketch
+from lendmart.operators.ranks import (MAX_QUANTILE_PIECES, default_pieces, place, quantiles,
+                                      refine, sketch)
 from lendmart.sources.snapshots import small_table
 
 
@@ -47,7 +48,7 @@ def _few_values(df: DataFrame, points: dict[str, list[float]], limit: int) -> se
     data. Only the other columns are counted, exactly; their rows concentrate on few
     values, so little is left to shuffle after the partial distinct.
     """
-    unsure = [c for c, found in points.items() if len(found) <= limit]
+    unsure = [c for c, found in points.items() if len(set(found)) <= limit]
     if not unsure:
         return set()
     entries = F.explode(F.array(*[
@@ -105,7 +106,8 @@ def fit_drift_baseline(df: DataFrame, columns: Sequence[str],
     if continuous:
         probs = [i / bins for i in range(bins + 1)]
         found: dict[str, set[float]] = {c: set() for c in continuous}
-        at = {c: points[c] for c in continuous}
+        at, _ = refine(df, continuous, points, min(MAX_QUANTILE_PIECES,
+                                                   default_pieces(df.sparkSession)))
         for r in quantiles(df, continuous, probs, "cont", at).collect():
             found[r["column"]].add(r["value"])
         edges = {c: sorted(found[c])[1:-1] for c in continuous}

@@ -14,12 +14,13 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from lendmart.sources.snapshots import small_table
 
 SKETCH_POINTS = 64
 MAX_QUANTILE_PIECES = 1024
+REFINEMENTS = 4  # passes at most; each makes pieces up to SKETCH_POINTS times finer
 
 
 def default_pieces(spark: SparkSession) -> int:
@@ -27,38 +28,88 @@ def default_pieces(spark: SparkSession) -> int:
     return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _refined(points: list[float], pieces: int) -> list[float]:
-    """Insert evenly spaced points between neighbours until there are enough."""
-    steps = math.ceil(pieces / max(1, len(points)))
-    out = set(points)
-    for lo, hi in zip(points, points[1:]):
-        out.update(lo + (hi - lo) * i / steps for i in range(1, steps))
-    return sorted(x for x in out if math.isfinite(x))
-
-
 def sketch(df: DataFrame, columns: Sequence[str],
            grid: int = SKETCH_POINTS) -> dict[str, list[float]]:
-    """Approximate quantiles of each column as sorted distinct values; every one of
-    them occurs in the data.
+    """Approximate quantiles of each column, ascending; every one of them occurs in the
+    data, and one that is repeated holds about so many of the grid's shares.
 
     One column-pruned pass; the sketches are small (``grid`` points at a tenth of
     their spacing), so merging those of very many tasks stays cheap.
     """
-    steps = ", ".join(str(i / grid) for i in range(1, grid))
     row = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).agg(
-        *[F.expr(f"percentile_approx(c{i}, array({steps}), {grid * 10})").alias(f"c{i}")
-          for i in range(len(columns))]).first()
-    return {c: sorted({v for v in (row[i] or []) if math.isfinite(v)})
+        *[_grid(f"c{i}", grid).alias(f"c{i}") for i in range(len(columns))]).first()
+    return {c: sorted(v for v in (row[i] or []) if math.isfinite(v))
             for i, c in enumerate(columns)}
 
 
+def _grid(column: str, grid: int) -> Column:
+    steps = ", ".join(str(i / grid) for i in range(1, grid))
+    return F.expr(f"percentile_approx({column}, array({steps}), {grid * 10})")
+
+
+def _apart(values: Sequence[float]) -> set[float]:
+    """Cut points at the values; a repeated one is in a piece of its own."""
+    ends = {math.nextafter(a, math.inf) for a, b in zip(values, values[1:]) if a == b}
+    return {x for x in {*values, *ends} if math.isfinite(x)}
+
+
+def _counts(rows: DataFrame) -> list[Row]:
+    """Rows per column and piece, and whether the piece has more than one value."""
+    return rows.groupBy("column", "piece").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("value") < F.max("value")).alias("mixed")).collect()
+
+
+def _held(pieces: Sequence[tuple[str, int]]) -> Column:
+    found: dict[str, set[int]] = {}
+    for column, piece in pieces:
+        found.setdefault(column, set()).add(piece)
+    out = F.lit(False)
+    for column, own in found.items():
+        out = out | ((F.col("column") == column) & F.col("piece").isin(sorted(own)))
+    return out
+
+
+def refine(df: DataFrame, columns: Sequence[str], start: dict[str, list[float]],
+           pieces: int) -> tuple[dict[str, list[float]], list[Row] | None]:
+    """Cut points that are even however many pieces are asked for, from a sketch's, and the
+    pieces' row counts where they are known.
+
+    A sketch alone is no finer than its grid, at the ends of the range least of all. So rows
+    are counted per piece, and the pieces that hold more than twice their share get sketches
+    of their own, all in one pass over their rows. Values that hold a share by themselves
+    stand apart in a piece that needs no order inside, and do not count for the shares of
+    the others. One counter per piece and a sketch per large piece are all that is shuffled.
+    """
+    points = {c: sorted(_apart(start[c])) for c in columns}
+    if all(len(start[c]) + 1 >= pieces for c in columns):
+        return points, None
+    for _ in range(REFINEMENTS):
+        rows = long_form(df, points)
+        counts = _counts(rows)
+        share = {c: sum(r["n"] for r in counts if r["column"] == c and r["mixed"]) / pieces
+                 for c in columns}
+        large = {(r["column"], r["piece"]): r["n"] / share[r["column"]] for r in counts
+                 if r["mixed"] and r["n"] > max(1, 2 * share[r["column"]])}
+        if not large:
+            return points, counts
+        finer = rows.filter(_held(list(large))).groupBy("column", "piece").agg(
+            _grid("value", SKETCH_POINTS).alias("found")).collect()
+        for r in finer:
+            found, parts = sorted(r["found"]), math.ceil(large[r["column"], r["piece"]])
+            # as many of the grid's values as there are shares, and the repeated ones
+            chosen = {found[min(len(found) - 1, SKETCH_POINTS * i // parts)]
+                      for i in range(1, min(parts, SKETCH_POINTS))}
+            repeated = [x for pair in zip(found, found[1:]) if pair[0] == pair[1] for x in pair]
+            points[r["column"]] = sorted({*points[r["column"]], *chosen, *_apart(repeated)})
+    return points, None
+
+
 def cut_points(df: DataFrame, columns: Sequence[str],
                pieces: int | None = None) -> dict[str, list[float]]:
-    """Strictly increasing inner cut points per column: a sketch's quantiles with
-    interpolated points in between. Only these doubles reach the driver."""
+    """Strictly increasing inner cut points per column, for pieces of about equal row
+    counts with frequent values apart. Only these doubles reach the driver."""
     pieces = pieces or default_pieces(df.sparkSession)
-    found = sketch(df, columns, min(SKETCH_POINTS, pieces))
-    return {c: _refined(points, pieces) for c, points in found.items()}
+    return refine(df, columns, sketch(df, columns, min(SKETCH_POINTS, pieces)), pieces)[0]
 
 
 def place(df: DataFrame, points: dict[str, Sequence[float]], prefix: str = "__p_") -> DataFrame:
@@ -103,19 +154,16 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"unknown method {method!r}")
+    counts = None
     if points is None:
-        points = cut_points(df, columns, min(MAX_QUANTILE_PIECES, default_pieces(df.sparkSession)))
+        pieces = min(MAX_QUANTILE_PIECES, default_pieces(df.sparkSession))
+        points, counts = refine(df, columns, sketch(df, columns, min(SKETCH_POINTS, pieces)),
+                                pieces)
     rows = long_form(df, points)
-    counts = rows.groupBy("column", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
-    targets = _wanted_ranks(counts, probs, method)
+    targets = _wanted_ranks(counts if counts is not None else _counts(rows), probs, method)
     wanted = small_table(
         df.sparkSession, targets, "column string, piece int, prob double, part double, rank long")
-    held: dict[str, set[int]] = {}
-    for column, piece, *_ in targets:
-        held.setdefault(column, set()).add(piece)
-    is_held = F.lit(False)
-    for column, found in held.items():
-        is_held = is_held | ((F.col("column") == column) & F.col("piece").isin(sorted(found)))
+    is_held = _held([t[:2] for t in targets])
 
     inside = Window.partitionBy("column", "piece").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

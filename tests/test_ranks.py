@@ -55,6 +55,26 @@ def test_pieces_are_even_on_skewed_values(spark):
     assert biggest <= 20000 / 32 * 4
 
 
+@pytest.mark.parametrize("kind", ["uniform", "zero-inflated", "log-normal", "whole numbers"])
+def test_many_pieces_are_even_on_any_distribution(spark, kind):
+    """Far more pieces than the first sketch has points, with heavy values apart."""
+    g = np.random.default_rng(3)
+    n = 60000
+    x = {"uniform": g.random(n) * 1e6,
+         "zero-inflated": np.where(g.random(n) < 0.8, 0.0, g.exponential(5, n)),
+         "log-normal": np.exp(g.normal(0, 8, n)) * g.choice([-1, 1], n),
+         "whole numbers": np.concatenate([np.arange(n - 9000), np.repeat([5, 77, 500], 3000)])}
+    df = spark.createDataFrame(pd.DataFrame({"x": x[kind].astype(float)})).repartition(8)
+    points = ranks.cut_points(df, ["x"], 400)
+    values = pd.Series(np.searchsorted(points["x"], np.unique(x[kind].astype(float)), "right"))
+    sizes = values.value_counts()
+    assert len(sizes) >= 400
+    assert sizes.max() <= 4 * sizes.mean()
+    some = ranks.quantiles(df, ["x"], [0.01, 0.5, 0.999], points=points).collect()
+    assert {r["prob"]: r["value"] for r in some} == {
+        p: np.sort(x[kind])[int(p * n) - 1] for p in (0.01, 0.5, 0.999)}
+
+
 def brute_gini(score, label):
     pos, neg = score[label == 1], score[label == 0]
     if not len(pos) or not len(neg):

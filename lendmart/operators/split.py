@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from lendmart import constants as K
@@ -24,16 +24,32 @@ def oot_split(df: DataFrame, date: str = "label_date", k: int = K.OOT_MONTHS) ->
             .withColumn("is_oot", F.col("__month").isNotNull()).drop("__month"))
 
 
+def _percent_ends(percent: dict[str, int] | None):
+    """Ends of consecutive quotas, each a rounded-down percentage of the total."""
+    def ends(total: Column) -> list[Column]:
+        out, running = [], F.lit(0)
+        for p in list((percent or K.SPLIT_PERCENT).values())[:-1]:
+            running = running + F.floor(total * p / 100)
+            out.append(running)
+        return out
+    return ends
+
+
+def _even_ends(parts: int):
+    """Ends of parts whose sizes differ by one at most."""
+    return lambda total: [F.floor(total * i / parts) for i in range(1, parts)]
+
+
 def quota_cuts(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
-               seed: int = K.SPLIT_SEED, percent: dict[str, int] | None = None) -> dict:
+               seed: int = K.SPLIT_SEED, percent: dict[str, int] | None = None,
+               quotas=None) -> dict:
     """Where each quota ends: label -> [(hash, key) of the last key of each split but
-    the last], None for an empty split.
+    the last], None for an empty split. ``quotas`` makes the ends of a total.
 
     Two narrow passes over (label, key): rows per label and hash piece, then the exact
     order of the keys inside the few pieces in which a quota ends. Neither a label nor
     a key that holds most of the rows is ever collected in one task.
     """
-    shares = list((percent or K.SPLIT_PERCENT).values())[:-1]
     ids = df.filter(F.col(label).isNotNull()).select(
         F.col(label).alias("l"), F.col(key).alias("k"), hash32(F.col(key), seed).alias("h"))
     placed = ids.withColumn("piece", F.shiftright("h", 32 - _PIECE_BITS))
@@ -44,10 +60,8 @@ def quota_cuts(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
     totals = (placed.groupBy("l", "piece").agg(F.count(F.lit(1)).alias("n"))
               .withColumns({"upto": F.sum("n").over(along),
                             "total": F.sum("n").over(Window.partitionBy("l"))}))
-    ends, running = [], F.lit(0)
-    for i, p in enumerate(shares):
-        running = running + F.floor(F.col("total") * p / 100)
-        ends.append(F.struct(F.lit(i).alias("cut"), running.alias("end")))
+    shares = (quotas or _percent_ends(percent))(F.col("total"))
+    ends = [F.struct(F.lit(i).alias("cut"), end.alias("end")) for i, end in enumerate(shares)]
     found = (totals.withColumn("e", F.explode(F.array(*ends)))
              .filter((F.col("e.end") > F.col("upto") - F.col("n"))
                      & (F.col("e.end") <= F.col("upto")))
@@ -86,8 +100,12 @@ def stratified_split(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
     compares itself with the cuts, which are literals. All rows of one key and label
     land in the same split.
     """
-    names = list(percent or K.SPLIT_PERCENT)
-    cuts = quota_cuts(df, key, label, seed, percent)
+    return _assigned(df, quota_cuts(df, key, label, seed, percent), key, label, seed,
+                     list(percent or K.SPLIT_PERCENT), out)
+
+
+def _assigned(df: DataFrame, cuts: dict, key: str, label: str, seed: int, names: list,
+              out: str) -> DataFrame:
     h, k = F.col("__h"), F.col(key)
     choice = F.when(F.lit(False), F.lit(names[-1]))
     for value, ends in sorted(cuts.items()):
@@ -99,6 +117,16 @@ def stratified_split(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
     return hashed.withColumn(out, choice.otherwise(F.lit(names[-1]))).drop("__h")
 
 
+def cv_folds(df: DataFrame, folds: int = 3, key: str = K.CUSTOMER, label: str = "label",
+             seed: int = K.SPLIT_SEED + 1, out: str = "fold") -> DataFrame:
+    """Adds ``fold``, 0 to folds - 1: within each label the keys in the order of a hash, cut
+    into parts whose sizes differ by one at most. Membership depends on the keys alone, not
+    on how rows are dealt, so a repeated search compares the same folds; the order is
+    another than the split's."""
+    cuts = quota_cuts(df, key, label, seed, quotas=_even_ends(folds))
+    return _assigned(df, cuts, key, label, seed, list(range(folds)), out)
+
+
 def split_sets(df: DataFrame, key: str = K.CUSTOMER, label: str = "label",
                date: str = "label_date", seed: int = K.SPLIT_SEED) -> DataFrame:
     """Adds ``split``: the last two months are 'oot', the others are split 80/10/10

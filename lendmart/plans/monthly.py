@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendmart import constants as K, schemas
 from lendmart.operators import (cleansing, drift, ema_state, features, joins, ledger, matrix,
-                                metrics, model as M, monitor, ranks, score as S, split)
+                                maturity, model as M, monitor, score as S, split)
 from lendmart.session import tune
 from lendmart.sources import published, snapshots as tables
 
@@ -29,9 +29,10 @@ PANEL_TABLE = "silver/panel"
 MAPS_TABLE, AVERAGES_TABLE = "silver/panel_maps", "gold/averages"
 FEATURES_TABLE, STATES_TABLE = "gold/features", "registry/feature_states"
 SCORES_TABLE, MODELS_TABLE = "gold/scores", "registry/models"
+LABELS_KNOWN_TABLE, COUNTS_TABLE = "monitor/labels_known", "monitor/score_counts"
 #: Tables read through their manifest; the others are partitioned by snapshot.
 PUBLISHED = {MAPS_TABLE, AVERAGES_TABLE, FEATURES_TABLE, STATES_TABLE, SCORES_TABLE,
-             MODELS_TABLE}
+             MODELS_TABLE, LABELS_KNOWN_TABLE, COUNTS_TABLE}
 
 
 @dataclass(frozen=True)
@@ -192,7 +193,7 @@ def training_matrix(mart: Mart, as_of) -> tuple[DataFrame, matrix.MatrixState, D
 
 
 def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None = None,
-                folds: int = 3) -> DataFrame | None:
+                folds: int = 3, parallelism: int = 2) -> DataFrame | None:
     """Train the candidates, keep the champion by out-of-time Gini, register it, and
     store its drift baseline. Does nothing for a month without features. Returns the
     metrics table."""
@@ -200,7 +201,8 @@ def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None =
         return None
     spark, trained_on = mart.spark, F.lit(str(snapshot_date)).cast("date")
     rows, state, data = training_matrix(mart, snapshot_date)
-    candidates = {kind: M.train(data, state.names, kind, (grids or {}).get(kind), folds)
+    candidates = {kind: M.train(data, state.names, kind, (grids or {}).get(kind), folds,
+                                parallelism=parallelism)
                   for kind in M.KINDS}
     results = None
     for t in candidates.values():
@@ -301,33 +303,59 @@ def score_month(mart: Mart, inference_date, mode: str = "skip") -> bool:
     return True
 
 
+def update_counts(mart: Mart, monitor_date) -> None:
+    """Add a month to the matured counts: its batches under the labels known by now, and
+    what its labels change in the batches before, of which only customers, scores and
+    predictions are read. Months already counted after it are counted again."""
+    spark, path = mart.spark, mart.path(SCORES_TABLE)
+    done = [r["slice"] for r in published.entries(spark, mart.path(COUNTS_TABLE))]
+    for month in [str(monitor_date), *[m for m in done if m > str(monitor_date)]]:
+        before = mart.newest(LABELS_KNOWN_TABLE, month, before=True)
+        known = (tables.small_table(spark, [], maturity.LABELS) if before is None
+                 else mart.read(LABELS_KNOWN_TABLE, before))
+        labels = mart.read("gold/labels").filter(F.col(K.SNAPSHOT) <= F.lit(month).cast("date"))
+        if before is not None:
+            labels = labels.filter(F.col(K.SNAPSHOT) > F.lit(before).cast("date"))
+        mart.publish(maturity.advance_labels(known, labels), LABELS_KNOWN_TABLE, month)
+        state = mart.read(LABELS_KNOWN_TABLE, month)
+        columns = [K.CUSTOMER, "score", "prediction", *maturity.BATCH]
+        counts = maturity.new_counts(
+            published.read(spark, path, upto=month, after=before, columns=columns), state)
+        if before is not None:
+            counts = counts.unionByName(maturity.changed_counts(
+                published.read(spark, path, upto=before, columns=columns), state))
+        mart.publish(counts, COUNTS_TABLE, month)
+
+
 def monitor_month(mart: Mart, monitor_date) -> dict[str, DataFrame]:
-    """PSI, CSI and matured performance of all batches so far, with status bands.
+    """PSI and CSI of the production batches that have none yet or are the month's own, and
+    matured performance of all batches as known on the date, with status bands.
 
-    Each of the three is one grouped job over all batches, written per batch.
+    The first two follow from a batch alone and are written once; performance follows from
+    the stored counts. So the month reads its own batch and its own labels.
     """
-    if not mart.exists(SCORES_TABLE):
-        return {}
     spark, stamp = mart.spark, F.lit(str(monitor_date)).cast("date")
-    scores = mart.read(SCORES_TABLE)
+    scored = [d for d in published.held(spark, mart.path(SCORES_TABLE)) if d <= str(monitor_date)]
+    if not scored:
+        return {}
     production = registry(mart).filter(F.col("model_label") == "production").first()
     expected, base = load_baseline(mart, production["model_version"])
-    served = scores.filter(F.col("model_label") == "production")
     by = ["inference_date", "model_label"]
-    out = {
-        "psi": drift.psi(expected, served, by),
-        "csi": drift.csi(base.only(scores.columns), served, by),
-    }
-    points = ranks.cut_points(scores, ["score"])["score"]
-    known = joins.matured(
-        scores.select(K.CUSTOMER, "score", "prediction", "model_version", *by),
-        mart.read("gold/labels"), as_of=monitor_date)
-    performance = metrics.performance(known, [*by, "model_version"], points)
+    out = {}
+    pending = [d for d in scored if d == str(monitor_date)
+               or not mart.loaded("monitor/psi", d, "inference_date")]
+    if pending:
+        served = mart.read(SCORES_TABLE, pending).filter(F.col("model_label") == "production")
+        out = {"psi": drift.psi(expected, served, by),
+               "csi": drift.csi(base.only(served.columns), served, by)}
+    update_counts(mart, monitor_date)
     out = {name: monitor.with_status(df, name) for name, df in out.items()}
+    performance = maturity.performance(
+        published.read(spark, mart.path(COUNTS_TABLE), upto=monitor_date))
     out["performance"] = monitor.with_status(monitor.with_status(performance, "gini"), "recall")
     for name, df in out.items():
         mart.write(df.withColumn("monitor_date", stamp), f"monitor/{name}", ["inference_date"])
-    return {name: mart.read(f"monitor/{name}") for name in out
+    return {name: mart.read(f"monitor/{name}") for name in ("psi", "csi", "performance")
             if mart.exists(f"monitor/{name}")}
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendmart import constants as K
 from lendmart.functions import clean as C, encode as E
 from lendmart.operators import (cleansing, drift, ema_state, features, joins, ledger, matrix,
-                                metrics, model, monitor, panel, ranks, score, split, stats)
+                                maturity, metrics, model, monitor, panel, ranks, score, split, stats)
 from lendmart.plans import adapters as A
 from lendmart.plans.checks import (GOLD_COLUMNS, LOAN_TYPES, OCCUPATIONS, bin_sql, codes_sql,
                                    csi_sql, flag_sql, matrix_sql, median_sql, metrics_sql,
@@ -598,6 +598,52 @@ def train_test_oot(spark, d):
     return split_labels(spark, d)
 
 
+def _train_labels(spark, d) -> DataFrame:
+    return split_labels(spark, d).filter(F.col("split") == "train")
+
+
+_FOLD_HASH = (f"CAST(('0x' || substr(md5(Customer_ID || '|{K.SPLIT_SEED + 1}'), 1, 8)) AS UBIGINT)")
+
+
+@query(f"""
+SELECT Customer_ID, label, CAST((rk > n * 1 // 3)::INTEGER + (rk > n * 2 // 3)::INTEGER AS INTEGER)
+       AS fold
+FROM (SELECT Customer_ID, label, count(*) OVER (PARTITION BY label) AS n,
+             row_number() OVER (PARTITION BY label ORDER BY {_FOLD_HASH}, Customer_ID) AS rk
+      FROM tr_split WHERE split = 'train')""")
+def cv_folds(spark, d):
+    """The folds that a model search compares its draws on."""
+    return split.cv_folds(_train_labels(spark, d)).select(K.CUSTOMER, "label", "fold")
+
+
+@query("""
+SELECT kind, label, count(*) AS n, max(CASE WHEN kind = 'lr' AND label = 1 THEN (pos + neg) / (2.0 * pos)
+  WHEN kind = 'lr' THEN (pos + neg) / (2.0 * neg) WHEN label = 1 THEN neg / CAST(pos AS DOUBLE)
+  ELSE CAST(1 AS DOUBLE) END) AS weight
+FROM (SELECT label, count(*) FILTER (label = 1) OVER () AS pos,
+             count(*) FILTER (label = 0) OVER () AS neg FROM tr_split WHERE split = 'train'),
+     (SELECT unnest(['lr', 'gbt']) AS kind)
+GROUP BY 1, 2""")
+def class_weights(spark, d):
+    """How much a row of each class weighs when a model of each kind is fitted."""
+    rows = snapshots.stage(_train_labels(spark, d))
+    lr, gbt = (model.class_weights(rows, kind).withColumn("kind", F.lit(kind))
+               for kind in model.KINDS)
+    return lr.unionByName(gbt).groupBy("kind", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
+
+
+@query("""
+SELECT Customer_ID, label, CASE WHEN label = 1 THEN (pos + 1) / CAST(pos + 2 AS DOUBLE)
+                                ELSE 1 / CAST(neg + 2 AS DOUBLE) END AS target
+FROM (SELECT *, count(*) FILTER (label = 1) OVER () AS pos,
+             count(*) FILTER (label = 0) OVER () AS neg FROM tr_split WHERE split = 'val')""")
+def platt_targets(spark, d):
+    """The targets that a calibration on the validation split is fitted to."""
+    val = split_labels(spark, d).filter(F.col("split") == "val")
+    return model.platt_targets(val).select(K.CUSTOMER, "label", "target")
+
+
 _SCALED = ", ".join(f"round((t.{c} - m_{c}) / s_{c}, 6) AS {c}" for c in A.EMA_COLUMNS)
 
 
@@ -774,6 +820,29 @@ def performance_by_batch(spark, d):
     return performance(spark, d)
 
 
+@query(f"SELECT inference_date, model_label, n, gini, recall FROM ({_PERF})"
+       " WHERE gini IS NOT NULL")
+def performance_incremental(spark, d):
+    """The same from stored counts to which each year adds its batches and its labels."""
+    cut, by = F.lit("2001-01-01").cast("date"), ["inference_date", "model_label"]
+    scored = snapshots.stage(A.scored(spark, d).filter(F.col("inference_date") <= cut).select(
+        K.CUSTOMER, "score", "prediction", *by, F.year("inference_date").alias("at")))
+    labels = snapshots.stage(loan_labels(spark, d).filter(F.col(K.SNAPSHOT) <= cut).select(
+        K.CUSTOMER, "label", F.year(K.SNAPSHOT).alias("at")))
+    known = snapshots.small_table(spark, [], maturity.LABELS)
+    years = scored.select("at").union(labels.select("at")).distinct().sort("at").collect()
+    counts = None
+    for year in [r["at"] for r in years]:  # as many as the calendar has
+        known = snapshots.stage(maturity.advance_labels(known, labels.filter(F.col("at") == year)))
+        added = maturity.new_counts(scored.filter(F.col("at") == year), known, by).unionByName(
+            maturity.changed_counts(scored.filter(F.col("at") < year), known, by))
+        added = snapshots.stage(added)
+        counts = added if counts is None else counts.unionByName(added)
+    if counts is None:
+        counts = maturity.new_counts(scored, known.withColumn("was", F.col("label")), by)
+    return maturity.performance(counts, by)
+
+
 def _status_sql(c: str) -> str:
     green, yellow, higher = K.BANDS[c]
     op = ">=" if higher else "<"

@@ -141,14 +141,18 @@ def publish_slices(df: DataFrame, path: str, by: str, note: str = "") -> dict[st
     return counts
 
 
-def read(spark: SparkSession, path: str, value=None, upto=None,
+def read(spark: SparkSession, path: str, value=None, upto=None, after=None,
          columns: Sequence[str] | None = None) -> DataFrame:
-    """One slice, the slices up to a date, or all, with the columns of the whole table."""
+    """One slice or a list of them, the slices after and up to a date, or all, with the
+    columns of the whole table."""
+    wanted = None if value is None else set(map(str, [value] if not isinstance(value, list)
+                                                else value))
     known = entries(spark, path)
     if not known:
         raise ValueError(f"nothing is published at {path}")
-    chosen = [r for r in known if r["rows"] and (value is None or r["slice"] == str(value))
-              and (upto is None or r["slice"] <= str(upto))]
+    chosen = [r for r in known if r["rows"] and (wanted is None or r["slice"] in wanted)
+              and (upto is None or r["slice"] <= str(upto))
+              and (after is None or r["slice"] > str(after))]
     schema = contract(known)
     if chosen:
         df = spark.read.schema(schema).parquet(*[r["path"] for r in chosen])

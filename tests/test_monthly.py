@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendmart import constants as K
-from lendmart.operators import features, matrix
+from lendmart.operators import features, joins, matrix, maturity, metrics
 from lendmart.plans import monthly
-from lendmart.sources import snapshots
+from lendmart.sources import published, snapshots
 
 MONTHS = [str(d.date()) for d in pd.date_range("2024-01-01", periods=5, freq="MS")]
 PER_MONTH = 120
@@ -133,6 +133,17 @@ def test_monitor_tables(mart):
     assert all(r["gini"] > 0.9 and r["gini_status"] == "green" for r in perf)
 
 
+def test_performance_follows_from_counts(mart):
+    """Stored counts give what a look at all scores and labels gives, at every date."""
+    m, _ = mart
+    scores, labels = m.read("gold/scores"), m.read("gold/labels")
+    for date in MONTHS[3:]:
+        want = metrics.performance(joins.matured(scores, labels, as_of=date))
+        got = maturity.performance(published.read(m.spark, m.path(monthly.COUNTS_TABLE), upto=date))
+        assert got.count() > 0 and sorted(map(str, got.select(want.columns).collect())) == sorted(
+            map(str, want.collect()))
+
+
 def test_months_without_data_are_skipped(mart):
     m, _ = mart
     assert not monthly.score_month(m, "2025-01-01")

@@ -8,9 +8,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lendmart.operators import ema_state, panel
+from lendmart.operators import ema_state, maturity, metrics, panel
 from lendmart.operators.asof import asof_join
 from lendmart.sources import published as P
+from lendmart.sources.snapshots import stage
 
 DAY = datetime.date
 
@@ -181,3 +182,29 @@ def test_wide_rows_are_not_sorted_by_the_asof_join(spark):
     plan = asof_join(left, right, "k", "at", "day")._jdf.queryExecution().optimizedPlan().toString()
     windows = [x for x in plan.split("\n") if "Window" in x]
     assert windows and not any("w#" in x or "f#" in x for x in windows)
+
+
+# --- matured counts ----------------------------------------------------------------
+
+def test_counts_of_months_add_up(spark):
+    """Labels that come late, turn from 0 to 1, repeat, or never come."""
+    rng = random.Random(5)
+    who = [f"c{i}" for i in range(60)] + [None]
+    scored = [(rng.choice(who), round(rng.random(), 1), rng.randrange(2), m, "production")
+              for m in range(5) for _ in range(80)]
+    labels = [(rng.choice(who), rng.randrange(2), m) for m in range(5) for _ in range(25)]
+    by = ["inference_date", "model_label"]
+    s_df = spark.createDataFrame(scored, "Customer_ID string, score double, prediction int,"
+                                         " inference_date int, model_label string")
+    l_df = spark.createDataFrame(labels, "Customer_ID string, label int, snapshot_date int")
+    known, counts = spark.createDataFrame([], maturity.LABELS), None
+    for month in range(5):
+        known = stage(maturity.advance_labels(known, l_df.filter(f"snapshot_date = {month}")))
+        added = maturity.new_counts(s_df.filter(f"inference_date = {month}"), known, by).union(
+            maturity.changed_counts(s_df.filter(f"inference_date < {month}"), known, by))
+        counts = stage(added if counts is None else counts.union(added))
+    worst = l_df.groupBy("Customer_ID").agg(F.max("label").alias("label"))
+    rows = s_df.join(worst, "Customer_ID")
+    assert values(maturity.performance(counts, by)) == values(metrics.performance(rows, by))
+    some = maturity.performance(counts, by, points=[0.2, 0.5])
+    assert values(some) == values(metrics.performance(rows, by, points=[]))

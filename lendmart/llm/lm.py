@@ -33,6 +33,7 @@ CHUNK_TOKENS = 2_000_000
 RANGE_GRAMS = 1_000_000   # n-grams a range of hashes adds up, about
 BUCKETS, STEPS = 24, 12
 KEPT, DELETED, HELD_OUT = 0, 1, 2
+COUNT = np.uint64         # of counts over all documents, which pass 2^32
 NO_ID = 4                 # added to the fold of a row without an id
 CHUNK = ("chunk long, ids binary, folds binary, sizes binary, tokens binary, "
          "words binary, n_grams long")
@@ -182,13 +183,13 @@ def _counted(order: int, docs: int, lost_docs: int):
             rows = answers[answers["order"] == k].sort_values("range")
             kept, lost = (np.concatenate([unpack(b, np.uint64) for b in rows[c]])[place]
                           .astype(np.int64) for c in ("kept", "deleted"))
-            out[f"n{k}"] = [pack(kept + lost, np.uint32)]
-            out[f"m{k}"] = [pack(kept[gone], np.uint32)]
+            out[f"n{k}"] = [pack(kept + lost, COUNT)]
+            out[f"m{k}"] = [pack(kept[gone], COUNT)]
             if k < order:
                 before, before_less = kept + lost, kept
-                out[f"x{k + 1}"] = [pack(chunk.shifted(before, docs), np.uint32)]
+                out[f"x{k + 1}"] = [pack(chunk.shifted(before, docs), COUNT)]
                 out[f"y{k + 1}"] = [pack(chunk.shifted(before_less, docs - lost_docs)[gone],
-                                         np.uint32)]
+                                         COUNT)]
         return own[["ids", "folds", "sizes"]].assign(**out)
     return run
 
@@ -218,10 +219,10 @@ def _expectation(order: int, weights: np.ndarray, kept: int, uniform: float):
         uses, chances = np.zeros_like(weights), np.zeros_like(weights)
         for pdf in batches:
             for row in pdf.itertuples():
-                counts = [unpack(getattr(row, f"m{k}"), np.uint32).astype(float)
+                counts = [unpack(getattr(row, f"m{k}"), COUNT).astype(float)
                           for k in range(1, order + 1)]
                 contexts = [np.full(len(counts[0]), float(kept))] + [
-                    unpack(getattr(row, f"y{k}"), np.uint32).astype(float)
+                    unpack(getattr(row, f"y{k}"), COUNT).astype(float)
                     for k in range(2, order + 1)]
                 steps = []
                 p = _levels(counts, contexts, weights, uniform, steps)
@@ -263,10 +264,10 @@ def _scored(order: int, weights: np.ndarray, tokens: int, types: int):
     def run(batches):
         for pdf in batches:
             for row in pdf.itertuples():
-                counts = [unpack(getattr(row, f"n{k}"), np.uint32).astype(float)
+                counts = [unpack(getattr(row, f"n{k}"), COUNT).astype(float)
                           for k in range(1, order + 1)]
                 contexts = [np.full(len(counts[0]), float(tokens))] + [
-                    unpack(getattr(row, f"x{k}"), np.uint32).astype(float)
+                    unpack(getattr(row, f"x{k}"), COUNT).astype(float)
                     for k in range(2, order + 1)]
                 p = _levels(counts, contexts, weights, 1 / (types + 1))
                 sizes = unpack(row.sizes, np.uint32).astype(np.int64)

@@ -15,6 +15,7 @@ carried, as the result has a row per piece.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -53,8 +54,6 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import json
-
         import public_tokenizers
         import tiktoken
         with open(path, encoding="utf-8") as file:
@@ -214,13 +213,10 @@ def _placed(where: dict, width: type):
 
 
 def pack(df: DataFrame, path: str, window: int = WINDOW, closing: int = CLOSING,
-         doc_id: str = "doc_id", text: str = "text", narrow: bool = True) -> DataFrame:
+         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32 bit),
-    doc_tokens, sequence_id, offset.
-
-    ``narrow`` keeps ids in 16 bits on the way, for vocabularies below 65,536.
-    """
-    width = np.dtype("<u2" if narrow else "<u4")
+    doc_tokens, sequence_id, offset. On the way ids are as wide as the vocabulary needs."""
+    width = id_width(path, closing)
     pieces = stage(df.select(F.col(doc_id).cast("long"), whole(text)).mapInArrow(
         _tokenised(path, window, closing, width), PIECE))
     counts = np.zeros(window + 1, dtype=np.int64)
@@ -241,6 +237,15 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, closing: int = CLOSING,
                                "doc_tokens long, sequence_id long, offset long")
 
 
+def id_width(path: str, closing: int = CLOSING) -> np.dtype:
+    """16 bits for the ids of a vocabulary file where all fit, else 32."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    largest = max([closing, *own["model"]["vocab"].values(),
+                   *[t["id"] for t in own.get("added_tokens", [])]])
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
 def digest(packed: DataFrame) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")

@@ -4,9 +4,10 @@ A line's path in the tree has a fixed depth: its number of tokens, then its lead
 tokens. Tokens with a digit are variable from the start. Within a leaf, a token is
 constant at its place if enough documents have it there, and not far fewer than have the
 line's solid tokens: as many of its most frequent ones as a template needs. So a field's
-values stay fields however often each recurs. Every other field is generalised. What is left is the line's template. A template that enough documents share, with enough
-constant tokens (all of them in lines of up to three tokens), is boilerplate: its first occurrence in the corpus (smallest id, then
-place) stays, all others are dropped.
+values stay fields however often each recurs. Every other field is generalised. What is
+left is the line's template. A template that enough documents share, with enough constant
+tokens (all of them in lines of up to three tokens), is boilerplate: its first occurrence in
+the corpus (smallest id, then place) stays, all others are dropped.
 
 Every step is a grouped count or an equi-join, so it does not depend on the order in which
 lines come, and a line, leaf or template that a third of all documents share reaches the
@@ -58,11 +59,12 @@ def _tokens(line: str) -> list[str]:
 def _leaves(batches):
     """Leaves of each text, once."""
     for batch in batches:
-        out = []
-        for text in batch.column(0).to_pylist():
-            found = map(_tokens, text.split("\n"))
-            out.extend({_leaf(tokens) for tokens in found if tokens})
-        yield pa.record_batch([pa.array(out, pa.int64())], names=["leaf"])
+        for at in range(0, batch.num_rows, 1000):
+            out = []
+            for text in batch.column(0).slice(at, 1000).to_pylist():
+                found = map(_tokens, text.split("\n"))
+                out.extend({_leaf(tokens) for tokens in found if tokens})
+            yield pa.record_batch([pa.array(out, pa.int64())], names=["leaf"])
 
 
 def _masked(batches):

@@ -22,17 +22,29 @@ from lendmart.sources.snapshots import checkpoint_folder, stage
 MIN_SHARE = 0.5  # a document's main language must hold this much of it
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns under names that no operator adds to, and these names by the old ones."""
+    names = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def named(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language. Those without a letter, and those in which no
-    language has at least half, go. Learns as the language query does."""
+    """Documents in a known language. Those without a letter (null and empty texts, too),
+    and those in which no language has at least half, go. Learns as the language query does."""
     known = docs.filter(remainder("doc_id", 5) != 0).select("text", "lang")
-    rows = identify(packed(docs), known)
-    kept = rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE))
-    return unpacked(kept, docs.columns)
+    rows, names = numbered(docs)  # each text once in the queue to the Python workers
+    found = identify(rows, known, text=names["text"])
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE))
+    return named(kept, names)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; those that had nothing else go."""
+    """Documents without recurring lines; those that had nothing else go. Where lines were
+    dropped, ``n_chars``, which the documents must have, counts what is left."""
     rows = drop_lines(docs)
     kept = rows.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(
@@ -51,14 +63,14 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    rows = decontaminate(packed(docs).withColumn("doc_id", F.col("d")),
-                         table(spark, sf_dir, "benchmark"))
-    return unpacked(rows.filter(~F.col("contaminated")), docs.columns)
+    """Documents without a benchmark passage; a null or empty text has none."""
+    rows, names = numbered(docs)
+    found = decontaminate(rows, table(spark, sf_dir, "benchmark"), names["doc_id"], names["text"])
+    return named(found.filter(~F.col("contaminated")), names)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in a sequence."""
+    """Token pieces with their place in a sequence; a null or empty text is one closing id."""
     return digest(pack(docs, vocabulary_path()))
 
 

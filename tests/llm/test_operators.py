@@ -227,6 +227,80 @@ def test_language_model_counts(spark, docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def plain_interpolation(texts, folds):
+    """Score of each text by the definition, order 2, with dictionaries."""
+    rows = [(f, [*B.words(t), None]) for t, f in zip(texts, folds)]
+
+    def counted(keep):
+        one, two, starts = Counter(), Counter(), 0
+        for f, ws in rows:
+            if f in keep:
+                starts += 1
+                one.update(ws)
+                two.update(zip(["start", *ws], ws))
+        return one, two, {**one, "start": starts}, sum(one.values())
+
+    def levels(ws, counts, weights, uniform):
+        one, two, context, total = counts
+        for a, w in zip(["start", *ws], ws):
+            here, p = [], uniform
+            for k, (n, c) in enumerate(((one[w], total), (two[a, w], context.get(a, 0)))):
+                bucket = min(int(math.log2(max(c, 1))), lm.BUCKETS - 1)
+                x = weights.get((k, bucket), 0.5) if c else 0.0
+                here.append((k, bucket, x, n / c if c else 0.0, p, c > 0))
+                p = x * here[-1][3] + (1 - x) * p
+            yield p, here
+
+    whole = counted({0, 1})
+    uniform, weights, less = 1 / (len(whole[0]) + 1), {}, counted({0})
+    for _ in range(lm.STEPS):
+        uses, chances = Counter(), Counter()
+        for f, ws in rows:
+            for _, here in levels(ws, less, weights, uniform) if f == 1 else ():
+                reach = 1.0
+                for k, bucket, x, own, below, usable in reversed(here):
+                    p = x * own + (1 - x) * below
+                    use = reach * x * own / p if p else 0.0
+                    if usable:
+                        uses[k, bucket] += use
+                        chances[k, bucket] += reach
+                    reach -= use
+        new = weights | {b: min(uses[b] / chances[b], 0.9999) for b in chances if chances[b] > 0}
+        change = max((abs(new[b] - weights.get(b, 0.5)) for b in new), default=0)
+        weights = new
+        if change < 1e-3:
+            break
+    return [sum(math.log10(p) for p, _ in levels(ws, whole, weights, uniform)) for _, ws in rows]
+
+
+def test_language_model_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(list("abcdefg"), rng.integers(0, 30),
+                                 p=[.4, .2, .15, .1, .05, .05, .05])) for _ in range(60)]
+    folds = [int(x) for x in rng.choice([0, 1, 2], 60, p=[.6, .2, .2])]
+    df = spark.createDataFrame(list(zip(range(60), texts, folds)), "doc_id long, text string, f int")
+    want = plain_interpolation(texts, folds)
+    for tokens in (2_000_000, 50):
+        got = by_id(lm.score(df, F.col("f"), chunk_tokens=tokens))
+        assert [got[i]["score"] for i in range(60)] == pytest.approx(want, rel=1e-9)
+
+
+def test_counts_beyond_32_bits():
+    import pandas as pd
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["a b a", "b"]), pa.array([0, 1])],
+                            names=["id", "text", "fold"])
+    own = next(lm._chunks(100, 2)([batch])).to_pandas()
+    asked = pd.concat(lm._asked(2, 1)([own]))
+    answers = pd.concat([lm._answer(2)((key,), rows) for key, rows in asked.groupby("range")])
+    more = 5_000_000_000
+    answers["kept"] = [lm.pack(lm.unpack(x, np.uint64) + np.uint64(more), np.uint64)
+                       for x in answers["kept"]]
+    out = lm._counted(2, more, 1)((0,), own, answers).iloc[0]
+    assert lm.unpack(out["n1"], lm.COUNT).min() > more
+    assert lm.unpack(out["x2"], lm.COUNT).min() >= more
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
     own = Tokenizer.from_file(packing.vocabulary_path())
@@ -258,6 +332,29 @@ def test_encoder_on_awkward_texts():
         assert list(ids) == own.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_agree_on_all_texts_and_odd_strings():
+    """The faster library against the file's own."""
+    import duckdb
+    rng = np.random.default_rng(7)
+    texts = [r[0] for r in duckdb.sql(
+        "SELECT text FROM '/root/testdata/sf0.1/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    signs = list("aAeé ñß  \t\n\n'’.,;-_/0129sStT¡ÿĀɏ\xa0") + ["'s", "'LL", "  ", "in", "the"]
+    texts += ["".join(rng.choice(signs, rng.integers(1, 40))) for _ in range(20000)]
+    encoder = packing.Encoder(packing.vocabulary_path())
+    encoder._any("")
+    own = encoder.own.encode_batch(texts, add_special_tokens=False)
+    assert all(list(a) == b.ids for a, b in zip(encoder.encode(texts), own))
+
+
+def test_ids_are_as_wide_as_the_vocabulary(tmp_path):
+    import json
+    for size, width in ((65536, "<u2"), (65537, "<u4")):
+        path = tmp_path / f"{size}.json"
+        path.write_text(json.dumps({"model": {"vocab": {"a": 0, "b": size - 1}}}))
+        assert packing.id_width(str(path)) == np.dtype(width)
+    assert packing.id_width(packing.vocabulary_path()) == np.dtype("<u2")
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(2)
     counts = np.zeros(2049, np.int64)
@@ -291,50 +388,11 @@ def test_language_of_awkward_rows(spark, awkward, empty):
         == {"und"}
 
 
-def dropped(texts):
-    """{id: kept text} by the definition, for texts with distinct ids."""
-    found, docs_of = [], defaultdict(set)
-    for i, text in texts:
-        for k, line in enumerate((text or "").split("\n")):
-            w = tuple(lines.FIELD if re.search("[0-9]", x) else x for x in line.split())
-            if len(w) >= lines.MIN_CONSTANT:
-                found.append((i, k, (len(w), w[:lines.LEADING]), w))
-                docs_of[found[-1][2]].add(i)
-    found = [x for x in found if len(docs_of[x[2]]) >= lines.MIN_DOCS]
-    owners, tokens = defaultdict(set), Counter()
-    for i, _, leaf, w in found:
-        owners[leaf, w].add(i)
-    for (leaf, w), own in owners.items():
-        for at, x in enumerate(w):
-            tokens[leaf, at, x] += len(own)
-    form = {}
-    for leaf, w in owners:
-        f = tuple(x if x != lines.FIELD and tokens[leaf, at, x] >= lines.MIN_DOCS else lines.FIELD
-                  for at, x in enumerate(w))
-        solid = sum(x != lines.FIELD for x in f)
-        if solid >= lines.MIN_CONSTANT and solid >= lines.SHARE * len(f):
-            form[leaf, w] = leaf, f
-    sharing, places = defaultdict(set), defaultdict(list)
-    for i, k, leaf, w in found:
-        if (leaf, w) in form:
-            sharing[form[leaf, w]].add(i)
-            places[form[leaf, w]].append((i, k))
-    gone = {p for f, own in places.items() if len(sharing[f]) >= lines.MIN_DOCS
-            for p in sorted(own)[1:]}
-    return {i: t and "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
-            for i, t in texts}
-
-
-def test_line_dedup(spark, docs):
-    got = by_id(queries.QUERIES["op1_log_templates"](spark, SF))
-    assert {i: r["text"] for i, r in got.items()} == dropped(docs)
-
-
 def test_line_dedup_generalises_fields(spark, awkward):
     texts = [(i, f"own {i}\nUser bob{i} logged in from home at  {i}:30\tsharp\n{'x y' * i}")
              for i in range(1, 6)] + [(6, None), (7, "")]
     got = by_id(lines.drop_lines(spark.createDataFrame(texts, "doc_id long, text string")))
-    assert {i: r["text"] for i, r in got.items()} == dropped(texts)
+    assert {i: r["text"] for i, r in got.items()} == kept(texts)
     assert [got[i]["n_dropped"] for i in range(1, 8)] == [0, 1, 1, 1, 1, 0, 0]
     assert lines.drop_lines(awkward).count() == len(AWKWARD)
 
@@ -384,9 +442,7 @@ def kept(texts):
 
 def test_line_dedup_of_all_lines(spark, docs):
     got = by_id(queries.QUERIES["op1_log_templates"](spark, SF))
-    whole, before = kept(docs), dropped(docs)
-    assert {i: r["text"] for i, r in got.items()} == whole
-    assert all(len(whole[i] or "") <= len(before[i] or "") for i in whole)
+    assert {i: r["text"] for i, r in got.items()} == kept(docs)
 
 
 def name(k):
@@ -463,6 +519,25 @@ def test_pipeline_keeps_clean_documents(spark):
         r["doc_id"] for r in kept.collect() if not marked[r["doc_id"]]["contaminated"])
 
 
+def test_pipeline_runs_as_a_whole(spark, tmp_path):
+    """All stages over the smallest table, with awkward rows and columns."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").withColumn("score", F.lit("own"))
+    odd = [(-1, None), (-2, ""), (-3, " "), (-4, "A b"), (-4, "A b"), (None, "A text without id")]
+    more = spark.createDataFrame([(i, t, "en", None, 1, "own") for i, t in odd], rows.schema)
+    for name, df in (("documents", rows.union(more)),
+                     ("benchmark", spark.read.parquet(f"{SF}/benchmark.parquet"))):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r["length"] for r in out)[-1] <= packing.WINDOW
+    whole = {}
+    for r in out:
+        whole.setdefault((r["doc_id"], r["doc_tokens"]), 0)
+        whole[r["doc_id"], r["doc_tokens"]] += r["length"]
+    assert all(n % key[1] == 0 for key, n in whole.items())
+    ids = {r["doc_id"] for r in out}
+    assert not ids & {-1, -2, -3} and len(ids) > 100
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op4_bootstrapped_contexts", "op7_content_parts", "op9_winnowing",
                  "op10_histogram_sort"):

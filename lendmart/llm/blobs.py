@@ -19,6 +19,16 @@ def unpack(blob: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).ravel()
 
 
+def pack_counts(values: np.ndarray) -> bytes:
+    """Counts in 32 bits where all fit, else in 64; the first byte says which."""
+    wide = len(values) and int(values.max()) >> 32
+    return bytes([8 if wide else 4]) + pack(values, np.uint64 if wide else np.uint32)
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    return unpack(memoryview(blob)[1:], np.uint64 if blob[0] == 8 else np.uint32)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending unsigned 64-bit keys as differences."""
     return pack(np.diff(keys, prepend=np.uint64(0)), np.uint64)

@@ -24,7 +24,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lendmart.llm.blobs import mix, pack, pack_sorted, unpack, unpack_sorted
+from lendmart.llm.blobs import (mix, pack, pack_counts, pack_sorted, unpack, unpack_counts,
+                                unpack_sorted)
 from lendmart.llm.common import release, remainder, table, whole
 from lendmart.sources.snapshots import stage
 
@@ -32,8 +33,8 @@ ORDER = 2
 CHUNK_TOKENS = 2_000_000
 RANGE_GRAMS = 1_000_000   # n-grams a range of hashes adds up, about
 BUCKETS, STEPS = 24, 12
+SLICE = 200_000           # positions whose probabilities are computed at once
 KEPT, DELETED, HELD_OUT = 0, 1, 2
-COUNT = np.uint64         # of counts over all documents, which pass 2^32
 NO_ID = 4                 # added to the fold of a row without an id
 CHUNK = ("chunk long, ids binary, folds binary, sizes binary, tokens binary, "
          "words binary, n_grams long")
@@ -183,13 +184,13 @@ def _counted(order: int, docs: int, lost_docs: int):
             rows = answers[answers["order"] == k].sort_values("range")
             kept, lost = (np.concatenate([unpack(b, np.uint64) for b in rows[c]])[place]
                           .astype(np.int64) for c in ("kept", "deleted"))
-            out[f"n{k}"] = [pack(kept + lost, COUNT)]
-            out[f"m{k}"] = [pack(kept[gone], COUNT)]
+            out[f"n{k}"] = [pack_counts(kept + lost)]
+            out[f"m{k}"] = [pack_counts(kept[gone])]
             if k < order:
                 before, before_less = kept + lost, kept
-                out[f"x{k + 1}"] = [pack(chunk.shifted(before, docs), COUNT)]
-                out[f"y{k + 1}"] = [pack(chunk.shifted(before_less, docs - lost_docs)[gone],
-                                         COUNT)]
+                out[f"x{k + 1}"] = [pack_counts(chunk.shifted(before, docs))]
+                out[f"y{k + 1}"] = [pack_counts(
+                    chunk.shifted(before_less, docs - lost_docs)[gone])]
         return own[["ids", "folds", "sizes"]].assign(**out)
     return run
 
@@ -213,27 +214,35 @@ def _levels(counts: list[np.ndarray], contexts: list[np.ndarray], weights: np.nd
     return p
 
 
+def _slices(row, count: str, context: str, order: int, total: int):
+    """(counts, contexts, positions) by slices of a chunk's positions, all as floats."""
+    counts = [unpack_counts(getattr(row, f"{count}{k}")) for k in range(1, order + 1)]
+    contexts = [unpack_counts(getattr(row, f"{context}{k}")) for k in range(2, order + 1)]
+    for at in range(0, len(counts[0]), SLICE):
+        here = slice(at, at + SLICE)
+        own = [c[here].astype(float) for c in counts]
+        yield own, [np.full(len(own[0]), float(total)),
+                    *[c[here].astype(float) for c in contexts]], here
+
+
 def _expectation(order: int, weights: np.ndarray, kept: int, uniform: float):
     """Expected uses of every order, and of every order or a shorter one, by bucket."""
     def run(batches):
         uses, chances = np.zeros_like(weights), np.zeros_like(weights)
         for pdf in batches:
             for row in pdf.itertuples():
-                counts = [unpack(getattr(row, f"m{k}"), COUNT).astype(float)
-                          for k in range(1, order + 1)]
-                contexts = [np.full(len(counts[0]), float(kept))] + [
-                    unpack(getattr(row, f"y{k}"), COUNT).astype(float)
-                    for k in range(2, order + 1)]
-                steps = []
-                p = _levels(counts, contexts, weights, uniform, steps)
-                reach = np.ones(len(p))  # posterior of using this order or a shorter one
-                for k in reversed(range(order)):
-                    own, a, bucket, usable, below = steps[k]
-                    here = a * own + (1 - a) * below
-                    use = reach * np.divide(a * own, here, out=np.zeros(len(p)), where=here > 0)
-                    uses[k] += np.bincount(bucket[usable], use[usable], BUCKETS)
-                    chances[k] += np.bincount(bucket[usable], reach[usable], BUCKETS)
-                    reach = reach - use
+                for counts, contexts, _ in _slices(row, "m", "y", order, kept):
+                    steps = []
+                    p = _levels(counts, contexts, weights, uniform, steps)
+                    reach = np.ones(len(p))  # posterior of using this order or a shorter one
+                    for k in reversed(range(order)):
+                        own, a, bucket, usable, below = steps[k]
+                        here = a * own + (1 - a) * below
+                        use = reach * np.divide(a * own, here, out=np.zeros(len(p)),
+                                                where=here > 0)
+                        uses[k] += np.bincount(bucket[usable], use[usable], BUCKETS)
+                        chances[k] += np.bincount(bucket[usable], reach[usable], BUCKETS)
+                        reach = reach - use
         at = np.indices(weights.shape)
         yield pd.DataFrame({"k": at[0].ravel(), "bucket": at[1].ravel(), "uses": uses.ravel(),
                             "chances": chances.ravel()})
@@ -264,24 +273,23 @@ def _scored(order: int, weights: np.ndarray, tokens: int, types: int):
     def run(batches):
         for pdf in batches:
             for row in pdf.itertuples():
-                counts = [unpack(getattr(row, f"n{k}"), COUNT).astype(float)
-                          for k in range(1, order + 1)]
-                contexts = [np.full(len(counts[0]), float(tokens))] + [
-                    unpack(getattr(row, f"x{k}"), COUNT).astype(float)
-                    for k in range(2, order + 1)]
-                p = _levels(counts, contexts, weights, 1 / (types + 1))
                 sizes = unpack(row.sizes, np.uint32).astype(np.int64)
                 first = np.cumsum(sizes) - sizes
-                base = np.log10((counts[0] + 1) / (tokens + types + 1))
+                p, base = np.empty(sizes.sum()), np.empty(sizes.sum())
+                known = np.empty(len(p), bool)
+                for counts, contexts, here in _slices(row, "n", "x", order, tokens):
+                    p[here] = np.log10(_levels(counts, contexts, weights, 1 / (types + 1)))
+                    base[here] = np.log10((counts[0] + 1) / (tokens + types + 1))
+                    known[here] = counts[0] > 0
                 folds = unpack(row.folds, np.uint8)
                 ids = pd.array(unpack(row.ids, np.int64), dtype="Int64")
                 ids[folds >= NO_ID] = pd.NA
                 yield pd.DataFrame({
                     "doc_id": ids, "held_out": folds % NO_ID == HELD_OUT,
                     "n_tokens": sizes,
-                    "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), first),
+                    "n_known": np.add.reduceat(known, first, dtype=np.int64),
                     "train_tokens": tokens, "base_score": np.add.reduceat(base, first),
-                    "score": np.add.reduceat(np.log10(p), first)})
+                    "score": np.add.reduceat(p, first)})
     return run
 
 

@@ -297,8 +297,9 @@ def test_counts_beyond_32_bits():
     answers["kept"] = [lm.pack(lm.unpack(x, np.uint64) + np.uint64(more), np.uint64)
                        for x in answers["kept"]]
     out = lm._counted(2, more, 1)((0,), own, answers).iloc[0]
-    assert lm.unpack(out["n1"], lm.COUNT).min() > more
-    assert lm.unpack(out["x2"], lm.COUNT).min() >= more
+    assert lm.unpack_counts(out["n1"]).min() > more
+    assert lm.unpack_counts(out["x2"]).min() >= more
+    assert lm.unpack_counts(lm.pack_counts(np.array([2**32 - 1]))).tolist() == [2**32 - 1]
 
 
 def test_packing(spark, docs):

@@ -129,8 +129,7 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     return stage(shared.join(named, ["leaf", "form"])), occurring
 
 
-@F.pandas_udf(StringType())
-def _without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
+def _remaining(texts: pd.Series, dropped: pd.Series) -> pd.Series:
     def one(text, lines):
         if text is None or lines is None:
             return text
@@ -154,7 +153,9 @@ def drop_lines(df: DataFrame, min_docs: int = MIN_DOCS, doc_id: str = "doc_id",
     joined = rows.join(gone, same_key(rows, gone), "left").select(
         *carried(df), "gone", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n"))
     n = F.when(F.col("n") > 0, F.col("n")).otherwise(0)
-    return unpacked(joined, df.columns, **{text: _without(F.col(own), F.col("gone")),
+    # a deterministic function would run once more for every later filter on its result
+    without = F.pandas_udf(_remaining, StringType()).asNondeterministic()
+    return unpacked(joined, df.columns, **{text: without(F.col(own), F.col("gone")),
                                            "n_dropped": n})
 
 

@@ -5,10 +5,11 @@ Distance is 1 - |x & y| / |x | y|; sets within 1 - ``similarity`` are linked.
 Regions. Two sets that share nothing are at distance 1 from each other and from every
 pivot between them, so no sample of documents can tell them apart. The first pivots are
 therefore the smallest sets there are, single shingles: a set is nearest to those it
-holds, ties broken by a fixed order of shingles (frequent ones last). A set is replicated
-to its first |x| - ceil(s |x|) + l pivots, the window that no linked pair can miss: sets
-that overlap so much share l pivots within both windows. With l a twentieth of a set's
-size, a set that shares fewer of its pivots with others has no link and leaves early.
+holds, ties broken by a fixed order of shingles (those in fewest sets first, by counts of
+all sets, then by hash). A set is replicated to its first |x| - ceil(s |x|) + l pivots, the
+window that no linked pair can miss: sets that overlap so much share l pivots within both
+windows. With l a twentieth of a set's size, a set that shares fewer of its pivots with
+others has no link and leaves early.
 
 Recursion. Inside a region, distances to document pivots are computed. Sets within the
 radius of a pivot are linked to it and need no comparison among each other. The rest of
@@ -20,10 +21,10 @@ or none is left. So every link between different texts is either found or implie
 links that are, and components are exact.
 
 Regions with the same members are one region, and large ones are merged with those much
-like them. Every class has a bitmap of its set, each
-shingle flipping one bit: two sets differ in at least as many shingles as their bitmaps in
-bits, so pairs too different to matter are left out where they meet. Pairs left out this
-way are never links, nor within twice the radius of a pivot.
+like them. Every class has a bitmap of its set, each shingle flipping one bit: two sets
+differ in at least as many shingles as their bitmaps in bits, so pairs too different to
+matter are left out where they meet. Pairs left out this way are never links, nor within
+twice the radius of a pivot.
 
 Sets equal in all shingles are one class from the start. Neither a region, a ball nor a
 class is ever brought into one task: all of it is rows that meet in equi-joins.
@@ -40,6 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lendmart.llm.blobs import mix, pack, pack_sorted, unpack, unpack_sorted
@@ -49,14 +51,14 @@ from lendmart.sources.snapshots import stage
 
 SHINGLE, PERCENT = 5, 80
 EXTRA = 20            # a window has one pivot more for every so many shingles
-FREQUENT, MOST_FREQUENT = 4, 1_000_000    # order of pivots only: rows of a block, list's bound
-BLOCK = 1_000_000     # shingles counted together
 BITMAP = 8            # words of 64 bits of a set's bitmap
 LARGE, MINIMA = 16, 4    # members of regions that may become one with others; hashes compared
 HOMES = 32            # regions of a set that are known where it meets others
-CHUNK_PIVOTS, RANGE_PIVOTS = 1_000_000, 1_000_000
+CHUNK_KEYS, RANGE_KEYS = 3_000_000, 3_000_000
+KEY_BITS = 40         # leading bits of a shingle's hash that are counted: order of pivots only
+KEY_SHIFT = np.uint64(64 - KEY_BITS)
 CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n binary, "
-         "sizes binary, pivots binary, n_pivots long")
+         "own binary, lengths binary, texts binary, keys binary, times binary, n_keys long")
 
 
 class _Hashes(dict):
@@ -106,135 +108,123 @@ def _window(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 + n // EXTRA if n else 0
 
 
-def _needed(n: np.ndarray, percent: int) -> np.ndarray:
+def _needed(n: int, percent: int) -> int:
     """Pivots that a set of size ``n`` shares with every set it is linked to, at least."""
     return 1 + -(-percent * n // 100) // EXTRA
 
 
-def _first(found: list[np.ndarray], percent: int, frequent: np.ndarray,
-           often_n: np.ndarray) -> list[np.ndarray]:
-    """The pivots of the sets' windows: the order is that of the hashes, but frequent
-    shingles come last, the most frequent ones at the very end."""
-    out = []
-    for s in found:
-        if len(frequent) and len(s):
-            at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-            often = frequent[at] == s
-            if often.any():
-                last = s[often][np.argsort(often_n[at[often]], kind="stable")]
-                s = np.concatenate([s[~often], last])
-        out.append(s[:_window(len(s), percent)])
-    return out
-
-
-def _counted(n: int, block: int, least: int):
-    """Lossy counting: all shingles are counted in blocks, and those with ``least`` rows in
-    a block are passed on. A shingle's sum falls short by less than that for every block."""
-    def flush(kept):
-        keys, counts = np.unique(np.concatenate(kept), return_counts=True)
-        often = counts >= least
-        return pa.record_batch([pa.array(keys[often].view(np.int64)), pa.array(counts[often])],
-                               names=["pivot", "rows"])
-
-    def run(batches):
-        sets, kept, size = Sets(n), [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                found = sets.of(batch.slice(at, 500).column(0).to_pylist())
-                kept += found
-                size += sum(map(len, found))
-                if size >= block:
-                    yield flush(kept)
-                    kept, size = [], 0
-        if kept:
-            yield flush(kept)
-    return run
-
-
-def _signed(n: int, percent: int, frequent: np.ndarray, often_n: np.ndarray, limit: int):
-    """Chunks of documents with their classes and pivots."""
-    def flush(rows, first):
+def _chunked(n: int, limit: int):
+    """Chunks of documents with their classes, the texts of their distinct sets, and how
+    many sets hold each key."""
+    def flush(rows, own, sets):
         ids, hashes, names, counts = zip(*rows)
-        sizes = np.array([len(f) for f in first], np.uint32)
+        keys, times = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]) >> KEY_SHIFT,
+                                return_counts=True)
+        texts = [text.encode("utf-8", "surrogatepass") for text in own.values()]
         chunk = xxhash.xxh3_64(repr(rows).encode()).intdigest() >> 1
-        values = {"chunk": chunk, "ids": pack(np.array([i or 0 for i in ids]), np.int64),
-                  "absent": pack(np.array([i is None for i in ids]), np.uint8),
-                  "t": pack(np.array(hashes), np.int64),
-                  "classes": pack(np.array(names), np.int64),
-                  "n": pack(np.array(counts), np.int64), "sizes": pack(sizes, np.uint32),
-                  "pivots": pack(np.concatenate(first), np.uint64),
-                  "n_pivots": int(sizes.sum())}
-        return pa.RecordBatch.from_pylist([values])
+        return pa.RecordBatch.from_pylist([{
+            "chunk": chunk, "ids": pack(np.array([i or 0 for i in ids]), np.int64),
+            "absent": pack(np.array([i is None for i in ids]), np.uint8),
+            "t": pack(np.array(hashes), np.int64), "classes": pack(np.array(names), np.int64),
+            "n": pack(np.array(counts), np.int64),
+            "own": pack(np.array(list(own), np.int64), np.int64),
+            "lengths": pack(np.array([len(x) for x in texts], np.uint32), np.uint32),
+            "texts": zstandard.ZstdCompressor(level=1).compress(b"".join(texts)),
+            "keys": pack_sorted(keys), "times": pack(times, np.uint32), "n_keys": len(keys)}])
 
     def run(batches):
-        sets, rows, kept, size = Sets(n), [], [], 0
+        sets, rows, own, kept, size = Sets(n), [], {}, [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 docs, hashes, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
-                found = sets.of(texts)
-                first = _first(found, percent, frequent, often_n)
-                for doc, t, s, f in zip(docs, hashes, found, first):
-                    rows.append((doc, t, xxhash.xxh3_64_intdigest(s.tobytes()) >> 1, len(s)))
-                    kept.append(f)
-                    size += len(f)
+                for doc, t, text, s in zip(docs, hashes, texts, sets.of(texts)):
+                    name = xxhash.xxh3_64_intdigest(s.tobytes()) >> 1
+                    rows.append((doc, t, name, len(s)))
+                    if len(s) and name not in own:
+                        own[name] = text
+                        kept.append(s)
+                        size += len(s)
                 if size >= limit:
-                    yield flush(rows, kept)
-                    rows, kept, size = [], [], 0
+                    yield flush(rows, own, kept)
+                    rows, own, kept, size = [], {}, [], 0
         if rows:
-            yield flush(rows, kept)
+            yield flush(rows, own, kept)
     return run
 
 
 def _opened(batches):
-    """A row per document of the chunks: doc_id, t, class, n."""
+    """A row per document of the chunks: chunk, doc_id, t, class, n."""
     for batch in batches:
         for row in batch.to_pylist():
             absent = unpack(row["absent"], np.uint8).astype(bool)
             yield pa.record_batch([
+                pa.array(np.full(len(absent), row["chunk"], np.int64)),
                 pa.array(unpack(row["ids"], np.int64), mask=absent),
                 *[pa.array(unpack(row[c], np.int64)) for c in ("t", "classes", "n")]],
-                names=["doc_id", "t", "class", "n"])
+                names=["chunk", "doc_id", "t", "class", "n"])
 
 
 def _asked(ranges: int):
-    """A chunk's distinct pivots and how often it has them, by ranges of their hash."""
+    """A chunk's keys and how often it has them, by ranges."""
+    cuts = [(i << KEY_BITS) // ranges for i in range(ranges + 1)]
+
     def run(batches):
-        for pdf in batches:
-            for chunk, blob in zip(pdf["chunk"], pdf["pivots"]):
-                keys, counts = np.unique(unpack(blob, np.uint64), return_counts=True)
-                cuts = np.searchsorted((keys >> np.uint64(32)).astype(np.int64),
-                                       [(i << 32) // ranges for i in range(ranges + 1)])
-                out = [(i, chunk, pack_sorted(keys[a:b]), pack(counts[a:b], np.uint32))
-                       for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-                yield pd.DataFrame(out, columns=["range", "chunk", "keys", "counts"])
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, times = unpack_sorted(row["keys"]), unpack(row["times"], np.uint32)
+                at = np.searchsorted(keys, np.array(cuts, np.uint64))
+                out = [(i, row["chunk"], pack_sorted(keys[a:b]), pack(times[a:b], np.uint32))
+                       for i, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
+                yield pa.record_batch(
+                    [pa.array(c, t) for c, t in zip(zip(*out), (
+                        pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                    names=["range", "chunk", "keys", "times"])
     return run
 
 
 def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of every pivot asked about, whether more than one row has it."""
+    """Of every key asked about, how many sets of all chunks hold it."""
     keys = [unpack_sorted(b) for b in pdf["keys"]]
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf["counts"]]))
-    shared = np.split((sums > 1)[place], np.cumsum([len(k) for k in keys])[:-1])
-    return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "range": key[0],
-                         "shared": [pack(x, np.uint8) for x in shared]})
+    sums = np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf["times"]]))
+    sums = np.minimum(sums, 2 ** 32 - 1).astype(np.uint32)[place]
+    return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "range": key[0], "sums": [
+        pack(x, np.uint32) for x in np.split(sums, np.cumsum([len(k) for k in keys])[:-1])]})
 
 
-def _members(percent: int):
-    """(pivot, class, n) of the shared pivots of documents that have enough of them."""
+def _members(n: int, percent: int):
+    """(pivot, class, n) of the shared pivots in the windows of the sets at home in a chunk
+    that have enough of them. A set's rarest shingles come first, ties by their hash."""
     def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = next(own.itertuples())
-        pivots = unpack(row.pivots, np.uint64)
-        _, place = np.unique(pivots, return_inverse=True)
-        shared = np.concatenate([unpack(b, np.uint8) for b in
-                                 answers.sort_values("range")["shared"]])[place].astype(bool)
-        sizes, n = unpack(row.sizes, np.uint32).astype(np.int64), unpack(row.n, np.int64)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        enough = np.bincount(doc, shared, len(sizes)) >= _needed(n, percent)
-        keep = shared & enough[doc]
-        return pd.DataFrame({"pivot": pivots[keep].view(np.int64),
-                             "class": unpack(row.classes, np.int64)[doc[keep]],
-                             "n": n[doc[keep]]}).drop_duplicates()
+        home = np.concatenate([np.empty(0, np.int64), *answers["home"].dropna()])
+        answers = answers.dropna(subset="sums").drop_duplicates("range").sort_values("range")
+        sums = np.concatenate([np.empty(0, np.uint32),
+                               *[unpack(b, np.uint32) for b in answers["sums"]]])
+        names, keys = unpack(row.own, np.int64), unpack_sorted(row.keys)
+        ends = np.cumsum(unpack(row.lengths, np.uint32).astype(np.int64))
+        texts = zstandard.ZstdDecompressor().decompress(row.texts) if len(names) else b""
+        here = np.flatnonzero(np.isin(names, home))
+        sets, pivots, classes, sizes = Sets(n), [], [], []
+        for at in range(0, len(here), 500):
+            some = here[at:at + 500]
+            found = sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
+                "utf-8", "surrogatepass") for i in some])
+            for name, s in zip(names[some], found):
+                held = sums[np.searchsorted(keys, s >> KEY_SHIFT)]
+                window = _window(len(s), percent)
+                alone = int((held == 1).sum())
+                if window - alone < _needed(len(s), percent):
+                    continue
+                first = s[np.argsort(held, kind="stable")[alone:window]]
+                pivots.append(first)
+                classes.append(name)
+                sizes.append(len(s))
+        times = [len(p) for p in pivots]
+        return pd.DataFrame({
+            "pivot": np.concatenate([np.empty(0, np.uint64), *pivots]).view(np.int64),
+            "class": np.repeat(np.array(classes, np.int64), times),
+            "n": np.repeat(np.array(sizes, np.int64), times)})
     return run
 
 
@@ -351,7 +341,11 @@ def _balls(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             near = left.withColumn("first", F.lit(False))
         else:
             rank = Window.partitionBy("pivot").orderBy("alone", "class")
-            near = stage(left.withColumn("first", F.row_number().over(rank) <= leads))
+            ahead = left.select("pivot", "class", "alone").withColumn(
+                "rank", F.row_number().over(rank)).filter(F.col("rank") <= leads).select(
+                    "pivot", "class", F.lit(True).alias("first"))
+            near = stage(left.join(ahead, ["pivot", "class"], "left").withColumn(
+                "first", F.coalesce("first", F.lit(False))))
             first = _named(near.filter("first").drop("alone", "first"), "a_").withColumnRenamed(
                 "class", "a")
         first = stage(first)
@@ -406,33 +400,41 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             "part", F.coalesce("part", "outside")).filter(
                 F.col("part") != F.coalesce("home", "ball")).drop("home"))
         order = Window.partitionBy("ball", "part").orderBy(F.desc("s_out"), "outside")
-        ranked = rest.withColumn("rank", F.row_number().over(order)).drop("part")
+        ahead = stage(rest.withColumn("rank", F.row_number().over(order)).filter(
+            F.col("rank") <= most).drop("part", "rank"))
         # the radius leaves a little room for rounding: comparing more never changes links
-        asked = ranked.filter(F.col("rank") <= most).join(
+        asked = ahead.join(
             _named(bitmaps, "out_").withColumnRenamed("class", "outside"), "outside").join(
                 inner, "ball").filter(_may_reach(percent, "in_", "out_") & (
                     F.col("s_in") <= F.col("s_out") + (100 - percent) / 100 + 1e-9)).select(
                 F.col("outside").alias("a"), F.col("inside").alias("b")).distinct()
         links = stage(links.union(measure(asked, sets).filter(_linked(percent)).select("a", "b")))
-        rest = stage(ranked.filter(F.col("rank") > most).drop("rank"))
+        rest = stage(rest.drop("part").join(ahead.select("ball", "outside"),
+                                            ["ball", "outside"], "left_anti"))
         most *= 8
 
 
-def regions(chunks: DataFrame, percent: int) -> DataFrame:
+def regions(chunks: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """Members (pivot, class, n, alone) of the regions that hold more than one class, merged.
 
+    All shingles are counted, exactly, by ranges of their hash. A class found in several
+    chunks takes part in one of them.
+
     ``alone`` is smallest for the sets that share most of their pivots. Such a set lies in
     the middle of its near copies, which differ from it less than from each other, so it
     comes first as a document pivot.
     """
-    total = chunks.agg(F.sum("n_pivots")).first()[0] or 0
-    ranges = max(1, -(-total // RANGE_PIVOTS))
-    answers = chunks.filter("n_pivots > 0").select("chunk", "pivots").mapInPandas(
-        _asked(ranges), "range int, chunk long, keys binary, counts binary").groupBy(
-            "range").applyInPandas(_answer, "chunk long, range int, shared binary")
-    rows = stage(chunks.filter("n_pivots > 0").select("chunk", "classes", "n", "sizes", "pivots")
+    total = chunks.agg(F.sum("n_keys")).first()[0] or 0
+    ranges = max(1, -(-total // RANGE_KEYS))
+    sums = chunks.filter("n_keys > 0").select("chunk", "keys", "times").mapInArrow(
+        _asked(ranges), "range int, chunk long, keys binary, times binary").groupBy(
+            "range").applyInPandas(_answer, "chunk long, range int, sums binary")
+    homes = rows.filter("n > 0").groupBy("class").agg(F.min("chunk").alias("chunk")).groupBy(
+        "chunk").agg(F.collect_list("class").alias("home"))
+    answers = sums.unionByName(homes, allowMissingColumns=True)
+    rows = stage(chunks.filter("n_keys > 0").select("chunk", "own", "lengths", "texts", "keys")
                  .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-                     _members(percent), "pivot long, class long, n long").distinct())
+                     _members(n, percent), "pivot long, class long, n long"))
     for _ in range(2):  # a region that a leaving set empties may let others leave
         several = stage(rows.groupBy("pivot").agg(F.min("class").alias("lo"),
                                                   F.max("class").alias("hi"))
@@ -453,18 +455,10 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"),
                      F.xxhash64(whole(text)).alias("t"), whole(text).alias("text"))
-    often = docs.select("text").mapInArrow(
-        _counted(n, BLOCK, FREQUENT), "pivot long, rows long").groupBy("pivot").agg(
-            F.sum("rows").alias("rows")).orderBy(
-                F.desc("rows"), "pivot").limit(MOST_FREQUENT).toArrow()
-    frequent = often.column(0).to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    frequent, often_n = frequent[order], often.column(1).to_numpy().astype(np.int64)[order]
-    release(spark)
-    chunks = stage(docs.mapInArrow(_signed(n, percent, frequent, often_n, CHUNK_PIVOTS), CHUNK))
-    rows = stage(chunks.select("ids", "absent", "t", "classes", "n").mapInArrow(
-        _opened, "doc_id long, t long, class long, n long"))
-    members = regions(chunks, percent)
+    chunks = stage(docs.mapInArrow(_chunked(n, CHUNK_KEYS), CHUNK))
+    rows = stage(chunks.select("chunk", "ids", "absent", "t", "classes", "n").mapInArrow(
+        _opened, "chunk long, doc_id long, t long, class long, n long"))
+    members = regions(chunks, rows, n, percent)
     release(spark)
     # one document of every class in a shared region gives its set
     wanted = members.select("class").distinct()

@@ -192,57 +192,6 @@ def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pack(x, np.uint32) for x in np.split(sums, np.cumsum([len(k) for k in keys])[:-1])]})
 
 
-def _members(n: int, percent: int):
-    """(pivot, class, n) of the shared pivots in the windows of the sets at home in a chunk
-    that have enough of them. A set's rarest shingles come first, ties by their hash."""
-    def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        row = next(own.itertuples())
-        home = np.concatenate([np.empty(0, np.int64), *answers["home"].dropna()])
-        answers = answers.dropna(subset="sums").drop_duplicates("range").sort_values("range")
-        sums = np.concatenate([np.empty(0, np.uint32),
-                               *[unpack(b, np.uint32) for b in answers["sums"]]])
-        names, keys = unpack(row.own, np.int64), unpack_sorted(row.keys)
-        ends = np.cumsum(unpack(row.lengths, np.uint32).astype(np.int64))
-        texts = zstandard.ZstdDecompressor().decompress(row.texts) if len(names) else b""
-        here = np.flatnonzero(np.isin(names, home))
-        sets, pivots, classes, sizes = Sets(n), [], [], []
-        for at in range(0, len(here), 500):
-            some = here[at:at + 500]
-            found = sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
-                "utf-8", "surrogatepass") for i in some])
-            for name, s in zip(names[some], found):
-                held = sums[np.searchsorted(keys, s >> KEY_SHIFT)]
-                window = _window(len(s), percent)
-                alone = int((held == 1).sum())
-                if window - alone < _needed(len(s), percent):
-                    continue
-                first = s[np.argsort(held, kind="stable")[alone:window]]
-                pivots.append(first)
-                classes.append(name)
-                sizes.append(len(s))
-        times = [len(p) for p in pivots]
-        return pd.DataFrame({
-            "pivot": np.concatenate([np.empty(0, np.uint64), *pivots]).view(np.int64),
-            "class": np.repeat(np.array(classes, np.int64), times),
-            "n": np.repeat(np.array(sizes, np.int64), times)})
-    return run
-
-
-def _set_rows(n: int):
-    def run(batches):
-        sets = Sets(n)
-        for batch in batches:
-            names, texts = batch.columns
-            for at in range(0, batch.num_rows, 500):
-                found = sets.of(texts.slice(at, 500).to_pylist())
-                maps = np.stack([_bitmap(s) for s in found]).T
-                yield pa.record_batch(
-                    [names.slice(at, 500), pa.array([s.tobytes() for s in found], pa.binary()),
-                     *[pa.array(np.ascontiguousarray(m)) for m in maps]],
-                    names=["class", "set", *BITS])
-    return run
-
-
 #: Columns of a bitmap.
 BITS = [f"bits{i}" for i in range(BITMAP)]
 
@@ -254,6 +203,35 @@ def _bitmap(keys: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _members(n: int, percent: int):
+    """Sets at home in a chunk with enough shared pivots in their windows: class, n, these
+    pivots, the set and its bitmap. A set's rarest shingles come first, ties by their hash."""
+    def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples())
+        home = np.concatenate([np.empty(0, np.int64), *answers["home"].dropna()])
+        answers = answers.dropna(subset="sums").drop_duplicates("range").sort_values("range")
+        sums = np.concatenate([unpack(b, np.uint32) for b in answers["sums"]])
+        names = unpack(row.own, np.int64)
+        ends = np.cumsum(unpack(row.lengths, np.uint32).astype(np.int64))
+        texts = zstandard.ZstdDecompressor().decompress(row.texts)
+        sets, found = Sets(n), []
+        for at in range(0, len(names), 500):
+            found += sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
+                "utf-8", "surrogatepass") for i in range(at, min(at + 500, len(names)))])
+        keys = np.unique(np.concatenate(found) >> KEY_SHIFT)
+        out = []
+        for name, s, here in zip(names, found, np.isin(names, home)):
+            if not here:
+                continue
+            held = sums[np.searchsorted(keys, s >> KEY_SHIFT)]
+            window, alone = _window(len(s), percent), int((held == 1).sum())
+            if window - alone >= _needed(len(s), percent):
+                first = s[np.argsort(held, kind="stable")[alone:window]]
+                out.append((name, len(s), first.view(np.int64), s.tobytes(), *_bitmap(s)))
+        return pd.DataFrame(out, columns=["class", "n", "pivots", "set", *BITS])
+    return run
+
+
 def _may_reach(percent: int, a: str, b: str):
     """False only of pairs with a similarity below ``percent``; ``a`` and ``b`` are prefixes
     of both sides' n and bitmap columns. Such a similarity needs sizes that near, and at
@@ -414,8 +392,10 @@ def _boundary(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         most *= 8
 
 
-def regions(chunks: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Members (pivot, class, n, alone) of the regions that hold more than one class, merged.
+def regions(chunks: DataFrame, rows: DataFrame, n: int,
+            percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members (pivot, class, n, alone) of the regions that hold more than one class, merged;
+    and their sets (class, n, set, bitmap).
 
     All shingles are counted, exactly, by ranges of their hash. A class found in several
     chunks takes part in one of them.
@@ -432,20 +412,25 @@ def regions(chunks: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFra
     homes = rows.filter("n > 0").groupBy("class").agg(F.min("chunk").alias("chunk")).groupBy(
         "chunk").agg(F.collect_list("class").alias("home"))
     answers = sums.unionByName(homes, allowMissingColumns=True)
-    rows = stage(chunks.filter("n_keys > 0").select("chunk", "own", "lengths", "texts", "keys")
+    bits = ", ".join(f"{w} long" for w in BITS)
+    able = stage(chunks.filter("n_keys > 0").select("chunk", "own", "lengths", "texts")
                  .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-                     _members(n, percent), "pivot long, class long, n long"))
+                     _members(n, percent),
+                     f"class long, n long, pivots array<long>, set binary, {bits}"))
+    rows = able.select(F.explode("pivots").alias("pivot"), "class", "n")
     for _ in range(2):  # a region that a leaving set empties may let others leave
         several = stage(rows.groupBy("pivot").agg(F.min("class").alias("lo"),
                                                   F.max("class").alias("hi"))
                         .filter("lo < hi").select("pivot"))
         rows = stage(rows.join(several, "pivot", "left_semi"))
         enough = 1 + F.floor(F.ceil(percent * F.col("n") / 100) / EXTRA)
-        able = stage(rows.groupBy("class", "n").count().filter(F.col("count") >= enough)
+        full = stage(rows.groupBy("class", "n").count().filter(F.col("count") >= enough)
                      .select("class"))
-        rows = stage(rows.join(able, "class", "left_semi"))
+        rows = stage(rows.join(full, "class", "left_semi"))
     alone = rows.groupBy("class").agg((-F.count(F.lit(1)) / F.first("n")).alias("alone"))
-    return stage(_merged(rows).join(stage(alone), "class"))
+    members = stage(_merged(rows).join(stage(alone), "class"))
+    return members, stage(able.drop("pivots").join(members.select("class").distinct(), "class",
+                                                   "left_semi"))
 
 
 def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -458,16 +443,7 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     chunks = stage(docs.mapInArrow(_chunked(n, CHUNK_KEYS), CHUNK))
     rows = stage(chunks.select("chunk", "ids", "absent", "t", "classes", "n").mapInArrow(
         _opened, "chunk long, doc_id long, t long, class long, n long"))
-    members = regions(chunks, rows, n, percent)
-    release(spark)
-    # one document of every class in a shared region gives its set
-    wanted = members.select("class").distinct()
-    one = stage(rows.join(wanted, "class", "left_semi").groupBy("class").agg(
-        F.min(F.struct("doc_id", "t")).alias("one")).select("class", "one.*"))
-    joined = docs.join(one, (docs["t"] == one["t"]) & docs["doc_id"].eqNullSafe(one["doc_id"]))
-    columns = ", ".join(["class long", "set binary", *[f"{w} long" for w in BITS]])
-    sets = stage(joined.select("class", "text").mapInArrow(_set_rows(n), columns)
-                 .dropDuplicates(["class"]).withColumn("n", F.floor(F.length("set") / 8)))
+    members, sets = regions(chunks, rows, n, percent)
     members = stage(members.join(sets.select("class", *BITS), "class"))
     release(spark)
     found = _balls(members, sets, percent)

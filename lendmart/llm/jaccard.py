@@ -26,8 +26,9 @@ differ in at least as many shingles as their bitmaps in bits, so pairs too diffe
 matter are left out where they meet. Pairs left out this way are never links, nor within
 twice the radius of a pivot.
 
-Sets equal in all shingles are one class from the start. Neither a region, a ball nor a
-class is ever brought into one task: all of it is rows that meet in equi-joins.
+Sets equal in all shingles are one class from the start. Regions, balls and classes are
+rows that meet in equi-joins. Leads of a region or ball are ranked in a frame of their own,
+which Spark limits within each task before the shuffle, up to 1,000 leads.
 
 Null texts and texts without words have an empty set, linked with nothing. Shingles and
 classes are known by 64-bit hashes. Rows without an id take part and are never the

@@ -114,13 +114,25 @@ def _needed(n: int, percent: int) -> int:
     return 1 + -(-percent * n // 100) // EXTRA
 
 
+def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counted bits of the sets' shingles, ascending with repeats, and a mask of each one's
+    first place. Sorted where they are: a chunk's keys are large beside a task's memory."""
+    keys = np.concatenate([np.empty(0, np.uint64), *sets])
+    keys >>= KEY_SHIFT
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys, new
+
+
 def _chunked(n: int, limit: int):
     """Chunks of documents with their classes, the texts of their distinct sets, and how
     many sets hold each key."""
     def flush(rows, own, sets):
         ids, hashes, names, counts = zip(*rows)
-        keys, times = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]) >> KEY_SHIFT,
-                                return_counts=True)
+        keys, new = _keys(sets)
+        sets.clear()
+        keys, times = keys[new], np.diff(np.flatnonzero(new), append=len(keys))
         texts = [text.encode("utf-8", "surrogatepass") for text in own.values()]
         chunk = xxhash.xxh3_64(repr(rows).encode()).intdigest() >> 1
         return pa.RecordBatch.from_pylist([{
@@ -207,32 +219,51 @@ def _bitmap(keys: np.ndarray) -> np.ndarray:
 def _members(n: int, percent: int):
     """Sets at home in a chunk with enough shared pivots in their windows: class, n, these
     pivots, the set and its bitmap. A set's rarest shingles come first, ties by their hash."""
-    def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        row = next(own.itertuples())
-        home = np.concatenate([np.empty(0, np.int64), *answers["home"].dropna()])
-        answers = answers.dropna(subset="sums").drop_duplicates("range").sort_values("range")
-        sums = np.concatenate([unpack(b, np.uint32) for b in answers["sums"]])
-        names = unpack(row.own, np.int64)
-        ends = np.cumsum(unpack(row.lengths, np.uint32).astype(np.int64))
-        texts = zstandard.ZstdDecompressor().decompress(row.texts)
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        row = own.slice(0, 1).to_pylist()[0]
+        home = pa.concat_arrays([pa.array([], pa.int64()), *[
+            c.flatten() for c in answers.column("home").chunks]]).to_numpy()
+        ranges = dict(zip(*(answers.column(c).to_pylist() for c in ("range", "sums"))))
+        sums = np.concatenate([unpack(ranges[i], np.uint32)
+                               for i in sorted(i for i in ranges if i is not None)])
+        names = unpack(row["own"], np.int64)
+        ends = np.cumsum(unpack(row["lengths"], np.uint32).astype(np.int64))
+        texts = zstandard.ZstdDecompressor().decompress(row["texts"])
         sets, found = Sets(n), []
         for at in range(0, len(names), 500):
             found += sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
                 "utf-8", "surrogatepass") for i in range(at, min(at + 500, len(names)))])
-        keys = np.unique(np.concatenate(found) >> KEY_SHIFT)
-        out = []
-        for name, s, here in zip(names, found, np.isin(names, home)):
-            if not here:
-                continue
-            held = sums[np.searchsorted(keys, s >> KEY_SHIFT)]
+        del sets, texts, row, own
+        keys, new = _keys(found)
+        keys = keys[new]
+        held_by, chosen, size = [], [], 0
+        for i, here in enumerate(np.isin(names, home)):
+            s, found[i] = found[i], None
+            held = sums[np.searchsorted(keys, s >> KEY_SHIFT)] if here else s[:0]
             window, alone = _window(len(s), percent), int((held == 1).sum())
-            if window - alone >= _needed(len(s), percent):
-                first = s[np.argsort(held, kind="stable")[alone:window]]
-                out.append((name, len(s), first.view(np.int64), s.tobytes(), *_bitmap(s)))
-        return pd.DataFrame(out, columns=["class", "n", "pivots", "set", *BITS])
+            if here and window - alone >= _needed(len(s), percent):
+                held_by.append(s[np.argsort(held, kind="stable")[alone:window]])
+                chosen.append(i)
+                found[i] = s
+        kept = [found[i] for i in chosen]
+        lists = pa.ListArray.from_arrays(_ends(held_by, 1), pa.array(
+            np.concatenate([np.empty(0, np.uint64), *held_by]).view(np.int64)))
+        bits = np.array([_bitmap(s) for s in kept], np.int64).reshape(-1, BITMAP)
+        del found, keys, held_by
+        values = pa.py_buffer(np.concatenate([np.empty(0, np.uint64), *kept]))
+        blobs = pa.Array.from_buffers(pa.binary(), len(kept),
+                                      [None, _ends(kept, 8).buffers()[1], values])
+        return pa.table([pa.array(names[chosen]), pa.array([len(s) for s in kept], pa.int64()),
+                         lists, blobs, *map(pa.array, bits.T.copy())],
+                        names=["class", "n", "pivots", "set", *BITS])
     return run
 
 
+def _ends(arrays: list[np.ndarray], width: int) -> pa.Array:
+    """Offsets of arrays that follow each other, ``width`` bytes a value."""
+    return pa.array(np.cumsum([0, *[len(x) * width for x in arrays]]), pa.int32())
+
+
 def _may_reach(percent: int, a: str, b: str):
     """False only of pairs with a similarity below ``percent``; ``a`` and ``b`` are prefixes
     of both sides' n and bitmap columns. Such a similarity needs sizes that near, and at
@@ -415,7 +446,7 @@ def regions(chunks: DataFrame, rows: DataFrame, n: int,
     answers = sums.unionByName(homes, allowMissingColumns=True)
     bits = ", ".join(f"{w} long" for w in BITS)
     able = stage(chunks.filter("n_keys > 0").select("chunk", "own", "lengths", "texts")
-                 .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+                 .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
                      _members(n, percent),
                      f"class long, n long, pivots array<long>, set binary, {bits}"))
     rows = able.select(F.explode("pivots").alias("pivot"), "class", "n")

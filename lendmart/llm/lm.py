@@ -24,8 +24,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lendmart.llm.blobs import (mix, pack, pack_counts, pack_sorted, unpack, unpack_counts,
-                                unpack_sorted)
+from lendmart.llm.blobs import (mix, pack, pack_counts, pack_sorted, places, unpack,
+                                unpack_counts, unpack_sorted)
 from lendmart.llm.common import release, remainder, table, whole
 from lendmart.sources.snapshots import stage
 
@@ -119,15 +119,15 @@ class Chunk:
         """(ascending distinct hashes, the place of each position's n-gram among them)."""
         if order == 1:
             rank = np.argsort(self.vocabulary)
-            place = np.empty(len(rank), np.int64)
+            place = np.empty(len(rank), np.uint32)  # as tokens are numbered
             place[rank] = np.arange(len(rank))
             return self.vocabulary[rank], place[self.tokens]
-        grams = self.vocabulary[self.tokens]
-        before = grams
+        grams = before = self.vocabulary[self.tokens]
         for _ in range(order - 1):
             before = self.shifted(before, _START)
             grams = mix(before, grams)
-        return np.unique(grams, return_inverse=True)
+        del before
+        return places(grams)
 
 
 def _asked(order: int, ranges: int):
@@ -138,8 +138,10 @@ def _asked(order: int, ranges: int):
                 chunk = Chunk(row)
                 for k in range(1, order + 1):
                     keys, place = chunk.distinct(k)
-                    kept, deleted = (np.bincount(place[chunk.fold == f], minlength=len(keys))
-                                     for f in (KEPT, DELETED))
+                    kept, deleted = (
+                        np.bincount(place[chunk.fold == f], minlength=len(keys)).astype(np.uint32)
+                        for f in (KEPT, DELETED))
+                    del place
                     cuts = np.searchsorted((keys >> np.uint64(32)).astype(np.int64),
                                            [(i << 32) // ranges for i in range(ranges + 1)])
                     out = []
@@ -155,7 +157,9 @@ def _answer(order: int):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_sorted(b) for b in pdf["keys"]]
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        keys = np.concatenate(keys)
+        place = places(keys)[1]
+        del keys
         sums = [np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf[c]]))
                 .astype(np.uint64) for c in ("kept", "deleted")]
         known = sums[0] + sums[1]
@@ -177,24 +181,36 @@ def _counted(order: int, docs: int, lost_docs: int):
     context's, over all training documents; for deleted positions without that part."""
     def run(key, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         chunk, out = Chunk(next(own.itertuples())), {}
-        before, before_less = None, None
         gone = chunk.fold == DELETED
         for k in range(1, order + 1):
-            _, place = chunk.distinct(k)
+            place = chunk.distinct(k)[1]
             rows = answers[answers["order"] == k].sort_values("range")
-            kept, lost = (np.concatenate([unpack(b, np.uint64) for b in rows[c]])[place]
-                          .astype(np.int64) for c in ("kept", "deleted"))
-            out[f"n{k}"] = [pack_counts(kept + lost)]
-            out[f"m{k}"] = [pack_counts(kept[gone])]
+            kept = _narrow(np.concatenate([unpack(b, np.uint64) for b in rows["kept"]]), docs)
+            less = kept[place]
+            out[f"m{k}"] = [pack_counts(less[gone])]
             if k < order:
-                before, before_less = kept + lost, kept
-                out[f"x{k + 1}"] = [pack_counts(chunk.shifted(before, docs))]
                 out[f"y{k + 1}"] = [pack_counts(
-                    chunk.shifted(before_less, docs - lost_docs)[gone])]
+                    chunk.shifted(less, less.dtype.type(docs - lost_docs))[gone])]
+            del less
+            known = np.concatenate([unpack(b, np.uint64) for b in rows["deleted"]])
+            known += kept
+            del kept
+            known = _narrow(known, docs)[place]
+            del place
+            out[f"n{k}"] = [pack_counts(known)]
+            if k < order:
+                out[f"x{k + 1}"] = [pack_counts(chunk.shifted(known, known.dtype.type(docs)))]
+            del known
         return own[["ids", "folds", "sizes"]].assign(**out)
     return run
 
 
+def _narrow(counts: np.ndarray, other: int) -> np.ndarray:
+    """Counts in 32 bits where they and another number fit."""
+    most = max(int(counts.max(initial=0)), other)
+    return counts if most >> 32 else counts.astype(np.uint32)
+
+
 def _bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64), BUCKETS - 1)
 

@@ -2,16 +2,18 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lendmart.llm import (chat, common, decontaminate, jaccard, langid, lines, lm, packing, pii,
-                          queries, sharding, topk)
+from lendmart.llm import (blobs, chat, common, decontaminate, jaccard, langid, lines, lm, packing,
+                          pii, queries, sharding, topk)
 import brute as B
 
 SF = "/root/testdata/sf0.001"
@@ -545,3 +547,39 @@ def test_native_operators_run_no_python(spark):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
     assert common.UPPER.lower() == common.LOWER
+
+
+def peak(run):
+    """(result, bytes allocated at most while it runs)."""
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_arrays_are_unpacked_and_placed_in_little_memory():
+    values = np.random.default_rng(1).integers(0, 2 ** 63, 400_000, dtype=np.uint64)
+    blob = blobs.pack(values, np.uint64)
+    out, most = peak(lambda: blobs.unpack(blob, np.uint64))
+    assert (out == values).all() and most < 1.5 * values.nbytes
+    keys, place = np.unique(values % np.uint64(1000), return_inverse=True)
+    ours = blobs.places(values % np.uint64(1000))
+    assert (ours[0] == keys).all() and (ours[1] == place).all()
+    assert [len(x) for x in blobs.places(values[:0])] == [0, 0]
+
+
+def test_grams_of_a_chunk_take_little_memory():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(0, 5000, 400_000).astype(np.uint32)
+    row = SimpleNamespace(
+        sizes=blobs.pack(np.full(400, 1000), np.uint32), folds=blobs.pack(np.zeros(400), np.uint8),
+        tokens=blobs.pack(tokens, np.uint32),
+        words=rng.integers(0, 2 ** 63, 5000, dtype=np.uint64).tobytes())
+    chunk = lm.Chunk(row)
+    (keys, place), most = peak(lambda: chunk.distinct(2))
+    assert most < 45 * len(tokens)  # 65 with np.unique
+    before = chunk.vocabulary[tokens]
+    grams = blobs.mix(chunk.shifted(before, lm._START), before)
+    assert (keys[place] == grams).all() and (np.diff(keys) > 0).all()

@@ -45,10 +45,10 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lendmart.llm.blobs import mix, pack, pack_sorted, unpack, unpack_sorted
+from lendmart.llm.blobs import mix, pack, pack_sorted, places, unpack, unpack_sorted
 from lendmart.llm.common import release, table, whole
 from lendmart.llm.graph import components
-from lendmart.sources.snapshots import stage
+from lendmart.sources.snapshots import bucketed, stage
 
 SHINGLE, PERCENT = 5, 80
 EXTRA = 20            # a window has one pivot more for every so many shingles
@@ -102,7 +102,10 @@ class Sets:
                     one = mix(one, hashes[at + k:at + k + 1])
                 out.append(one)
             at += size
-        return out
+        # views of one array: small arrays that outlive the texts would leave holes between them
+        flat = np.concatenate([np.empty(0, np.uint64), *out])
+        ends = np.cumsum([len(s) for s in out])
+        return [flat[end - len(s):end] for s, end in zip(out, ends)]
 
 
 def _window(n: int, percent: int) -> int:
@@ -116,8 +119,10 @@ def _needed(n: int, percent: int) -> int:
 
 def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Counted bits of the sets' shingles, ascending with repeats, and a mask of each one's
-    first place. Sorted where they are: a chunk's keys are large beside a task's memory."""
+    first place. Sorted where they are: a chunk's keys are large beside a task's memory. A
+    list's arrays are let go of, so it is to be one that nobody else needs."""
     keys = np.concatenate([np.empty(0, np.uint64), *sets])
+    sets.clear()
     keys >>= KEY_SHIFT
     keys.sort()
     new = np.ones(len(keys), bool)
@@ -128,12 +133,13 @@ def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _chunked(n: int, limit: int):
     """Chunks of documents with their classes, the texts of their distinct sets, and how
     many sets hold each key."""
-    def flush(rows, own, sets):
+    def flush(rows, own, sets, texts):
         ids, hashes, names, counts = zip(*rows)
         keys, new = _keys(sets)
-        sets.clear()
-        keys, times = keys[new], np.diff(np.flatnonzero(new), append=len(keys))
-        texts = [text.encode("utf-8", "surrogatepass") for text in own.values()]
+        at = np.flatnonzero(new).astype(np.uint32)
+        times = np.diff(at, append=np.uint32(len(keys)))
+        keys = keys[new]
+        del new, at
         chunk = xxhash.xxh3_64(repr(rows).encode()).intdigest() >> 1
         return pa.RecordBatch.from_pylist([{
             "chunk": chunk, "ids": pack(np.array([i or 0 for i in ids]), np.int64),
@@ -141,30 +147,49 @@ def _chunked(n: int, limit: int):
             "t": pack(np.array(hashes), np.int64), "classes": pack(np.array(names), np.int64),
             "n": pack(np.array(counts), np.int64),
             "own": pack(np.array(list(own), np.int64), np.int64),
-            "lengths": pack(np.array([len(x) for x in texts], np.uint32), np.uint32),
-            "texts": zstandard.ZstdCompressor(level=1).compress(b"".join(texts)),
+            "lengths": pack(np.array(list(own.values()), np.uint32), np.uint32),
+            "texts": texts,
             "keys": pack_sorted(keys), "times": pack(times, np.uint32), "n_keys": len(keys)}])
 
     def run(batches):
-        sets, rows, own, kept, size = Sets(n), [], {}, [], 0
+        sets, rows, own, kept, size, texts = Sets(n), [], {}, [], 0, _Texts()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                docs, hashes, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
-                for doc, t, text, s in zip(docs, hashes, texts, sets.of(texts)):
+                docs, hashes, here = (c.to_pylist() for c in batch.slice(at, 500).columns)
+                new = []
+                for doc, t, text, s in zip(docs, hashes, here, sets.of(here)):
                     name = xxhash.xxh3_64_intdigest(s.tobytes()) >> 1
                     rows.append((doc, t, name, len(s)))
                     if len(s) and name not in own:
-                        own[name] = text
-                        kept.append(s)
+                        own[name] = texts.add(text)
+                        new.append(s)
                         size += len(s)
+                if new:
+                    kept.append(np.concatenate(new))
                 if size >= limit:
-                    yield flush(rows, own, kept)
-                    rows, own, kept, size = [], {}, [], 0
+                    sets.known.clear()  # its room is needed
+                    yield flush(rows, own, kept, texts.blob())
+                    rows, own, kept, size, texts = [], {}, [], 0, _Texts()
         if rows:
-            yield flush(rows, own, kept)
+            yield flush(rows, own, kept, texts.blob())
     return run
 
 
+class _Texts:
+    """Texts as one compressed value, compressed as they come."""
+
+    def __init__(self):
+        self.to, self.parts = zstandard.ZstdCompressor(level=1).compressobj(), []
+
+    def add(self, text: str) -> int:
+        own = text.encode("utf-8", "surrogatepass")
+        self.parts.append(self.to.compress(own))
+        return len(own)
+
+    def blob(self) -> bytes:
+        return b"".join([*self.parts, self.to.flush()])
+
+
 def _opened(batches):
     """A row per document of the chunks: chunk, doc_id, t, class, n."""
     for batch in batches:
@@ -198,7 +223,7 @@ def _asked(ranges: int):
 def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
     """Of every key asked about, how many sets of all chunks hold it."""
     keys = [unpack_sorted(b) for b in pdf["keys"]]
-    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    place = places(np.concatenate(keys))[1]
     sums = np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf["times"]]))
     sums = np.minimum(sums, 2 ** 32 - 1).astype(np.uint32)[place]
     return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "range": key[0], "sums": [
@@ -228,14 +253,15 @@ def _members(n: int, percent: int):
                                for i in sorted(i for i in ranges if i is not None)])
         names = unpack(row["own"], np.int64)
         ends = np.cumsum(unpack(row["lengths"], np.uint32).astype(np.int64))
-        texts = zstandard.ZstdDecompressor().decompress(row["texts"])
+        texts = zstandard.ZstdDecompressor().decompressobj().decompress(row["texts"])
         sets, found = Sets(n), []
         for at in range(0, len(names), 500):
             found += sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
                 "utf-8", "surrogatepass") for i in range(at, min(at + 500, len(names)))])
         del sets, texts, row, own
-        keys, new = _keys(found)
+        keys, new = _keys(list(found))
         keys = keys[new]
+        del new
         held_by, chosen, size = [], [], 0
         for i, here in enumerate(np.isin(names, home)):
             s, found[i] = found[i], None
@@ -461,8 +487,9 @@ def regions(chunks: DataFrame, rows: DataFrame, n: int,
         rows = stage(rows.join(full, "class", "left_semi"))
     alone = rows.groupBy("class").agg((-F.count(F.lit(1)) / F.first("n")).alias("alone"))
     members = stage(_merged(rows).join(stage(alone), "class"))
-    return members, stage(able.drop("pivots").join(members.select("class").distinct(), "class",
-                                                   "left_semi"))
+    # every measurement joins sets with pairs: they are dealt out once, here
+    return members, bucketed(able.drop("pivots").join(
+        members.select("class").distinct().hint("merge"), "class", "left_semi"), "class")
 
 
 def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -472,7 +499,8 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"),
                      F.xxhash64(whole(text)).alias("t"), whole(text).alias("text"))
-    chunks = stage(docs.mapInArrow(_chunked(n, CHUNK_KEYS), CHUNK))
+    # a row is a file's worth: written by buckets, chunks meet their answers without a shuffle
+    chunks = bucketed(docs.mapInArrow(_chunked(n, CHUNK_KEYS), CHUNK), "chunk")
     rows = stage(chunks.select("chunk", "ids", "absent", "t", "classes", "n").mapInArrow(
         _opened, "chunk long, doc_id long, t long, class long, n long"))
     members, sets = regions(chunks, rows, n, percent)

@@ -583,3 +583,24 @@ def test_grams_of_a_chunk_take_little_memory():
     before = chunk.vocabulary[tokens]
     grams = blobs.mix(chunk.shifted(before, lm._START), before)
     assert (keys[place] == grams).all() and (np.diff(keys) > 0).all()
+
+
+def test_chunks_and_sets_of_the_join_move_once(spark, monkeypatch):
+    """They are read by buckets of their key: no measurement shuffles all sets again."""
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (3, None)],
+        "doc_id long, text string")
+    met, measure, regions = [], jaccard.measure, jaccard.regions
+
+    def seen(frame, key):
+        met.append(frame.groupBy(key).count()._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(jaccard, "measure", lambda pairs, sets: (
+        seen(sets, "class"), measure(pairs, sets))[1])
+    monkeypatch.setattr(jaccard, "regions", lambda chunks, *rest: (
+        seen(chunks, "chunk"), regions(chunks, *rest))[1])
+    rows = jaccard.join_groups(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [(1, 1), (2, 1), (3, 3)]
+    assert len(met) > 1 and not any("Exchange" in plan for plan in met)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lendmart_")]

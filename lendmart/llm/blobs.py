@@ -42,7 +42,9 @@ def unpack_counts(blob: bytes) -> np.ndarray:
 
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending unsigned 64-bit keys as differences."""
-    return pack(np.diff(keys, prepend=np.uint64(0)), np.uint64)
+    steps = np.array(keys, np.uint64)
+    steps[1:] -= keys[:-1]
+    return pack(steps, np.uint64)
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:

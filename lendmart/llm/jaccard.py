@@ -45,7 +45,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lendmart.llm.blobs import mix, pack, pack_sorted, places, unpack, unpack_sorted
+from lendmart.llm.blobs import PART, mix, pack, pack_sorted, unpack, unpack_sorted
 from lendmart.llm.common import release, table, whole
 from lendmart.llm.graph import components
 from lendmart.sources.snapshots import bucketed, stage
@@ -62,29 +62,20 @@ CHUNK = ("chunk long, ids binary, absent binary, t binary, classes binary, n bin
          "own binary, lengths binary, texts binary, keys binary, times binary, n_keys long")
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word):
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 class Sets:
     """Sorted distinct shingle hashes of texts."""
 
-    def __init__(self, n: int, remembered: int = 300_000):
-        self.n, self.known, self.remembered = n, _Hashes(), remembered
+    def __init__(self, n: int):
+        self.n = n
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.remembered:
-            self.known.clear()
         words, sizes = [], []
         for text in texts:
             own = text.encode("utf-8", "surrogatepass").lower().split()
             words += own
             sizes.append(len(own))
-        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        # a word is hashed faster than looked up among those hashed before, which take room
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         rolled = hashes
         for k in range(1, self.n):
             rolled = mix(rolled[:-1], hashes[k:]) if len(rolled) > 1 else rolled[:0]
@@ -117,17 +108,36 @@ def _needed(n: int, percent: int) -> int:
     return 1 + -(-percent * n // 100) // EXTRA
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an ascending array, moved to its front, and how often each is there."""
+    times, n, last = np.empty(len(keys), np.uint32), 0, None
+    for at in range(0, len(keys), PART):
+        part = keys[at:at + PART]
+        new = np.ones(len(part), bool)
+        np.not_equal(part[1:], part[:-1], out=new[1:])
+        new[0] = last is None or part[0] != last
+        first, last = np.flatnonzero(new), part[-1]
+        times[n:n + len(first)] = first + at
+        keys[n:n + len(first)] = part[first]
+        n += len(first)
+    if n:
+        times[:n - 1] = times[1:n] - times[:n - 1]
+        times[n - 1] = len(keys) - int(times[n - 1])
+    return keys[:n], times[:n]
+
+
 def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Counted bits of the sets' shingles, ascending with repeats, and a mask of each one's
-    first place. Sorted where they are: a chunk's keys are large beside a task's memory. A
-    list's arrays are let go of, so it is to be one that nobody else needs."""
-    keys = np.concatenate([np.empty(0, np.uint64), *sets])
-    sets.clear()
-    keys >>= KEY_SHIFT
+    """Distinct counted bits of the sets' shingles, ascending, and how many sets hold each.
+    Sorted and counted where they are: a chunk's keys are large beside a task's memory. A
+    list's arrays are let go of one by one, so it is to be one that nobody else needs."""
+    keys = np.empty(sum(map(len, sets)), np.uint64)
+    end = len(keys)
+    while sets:
+        own = sets.pop()
+        np.right_shift(own, KEY_SHIFT, out=keys[end - len(own):end])
+        end -= len(own)
     keys.sort()
-    new = np.ones(len(keys), bool)
-    np.not_equal(keys[1:], keys[:-1], out=new[1:])
-    return keys, new
+    return _runs(keys)
 
 
 def _chunked(n: int, limit: int):
@@ -135,11 +145,7 @@ def _chunked(n: int, limit: int):
     many sets hold each key."""
     def flush(rows, own, sets, texts):
         ids, hashes, names, counts = zip(*rows)
-        keys, new = _keys(sets)
-        at = np.flatnonzero(new).astype(np.uint32)
-        times = np.diff(at, append=np.uint32(len(keys)))
-        keys = keys[new]
-        del new, at
+        keys, times = _keys(sets)
         chunk = xxhash.xxh3_64(repr(rows).encode()).intdigest() >> 1
         return pa.RecordBatch.from_pylist([{
             "chunk": chunk, "ids": pack(np.array([i or 0 for i in ids]), np.int64),
@@ -148,7 +154,7 @@ def _chunked(n: int, limit: int):
             "n": pack(np.array(counts), np.int64),
             "own": pack(np.array(list(own), np.int64), np.int64),
             "lengths": pack(np.array(list(own.values()), np.uint32), np.uint32),
-            "texts": texts,
+            "texts": texts.blob(),
             "keys": pack_sorted(keys), "times": pack(times, np.uint32), "n_keys": len(keys)}])
 
     def run(batches):
@@ -167,11 +173,13 @@ def _chunked(n: int, limit: int):
                 if new:
                     kept.append(np.concatenate(new))
                 if size >= limit:
-                    sets.known.clear()  # its room is needed
-                    yield flush(rows, own, kept, texts.blob())
+                    chunk = flush(rows, own, kept, texts)
                     rows, own, kept, size, texts = [], {}, [], 0, _Texts()
+                    yield chunk
         if rows:
-            yield flush(rows, own, kept, texts.blob())
+            chunk = flush(rows, own, kept, texts)
+            del rows, own, kept, texts
+            yield chunk
     return run
 
 
@@ -222,12 +230,16 @@ def _asked(ranges: int):
 
 def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
     """Of every key asked about, how many sets of all chunks hold it."""
-    keys = [unpack_sorted(b) for b in pdf["keys"]]
-    place = places(np.concatenate(keys))[1]
-    sums = np.bincount(place, np.concatenate([unpack(b, np.uint32) for b in pdf["times"]]))
-    sums = np.minimum(sums, 2 ** 32 - 1).astype(np.uint32)[place]
+    every = np.concatenate([unpack_sorted(b) for b in pdf["keys"]])
+    every.sort()
+    every = _runs(every)[0]
+    sums = np.zeros(len(every), np.uint64)
+    for keys, times in zip(pdf["keys"], pdf["times"]):  # a chunk has a key once
+        sums[np.searchsorted(every, unpack_sorted(keys))] += unpack(times, np.uint32)
+    sums = np.minimum(sums, np.uint64(2 ** 32 - 1)).astype(np.uint32)
     return pd.DataFrame({"chunk": pdf["chunk"].to_numpy(), "range": key[0], "sums": [
-        pack(x, np.uint32) for x in np.split(sums, np.cumsum([len(k) for k in keys])[:-1])]})
+        pack(sums[np.searchsorted(every, unpack_sorted(keys))], np.uint32)
+        for keys in pdf["keys"]]})
 
 
 #: Columns of a bitmap.
@@ -259,9 +271,7 @@ def _members(n: int, percent: int):
             found += sets.of([texts[ends[i - 1] if i else 0:ends[i]].decode(
                 "utf-8", "surrogatepass") for i in range(at, min(at + 500, len(names)))])
         del sets, texts, row, own
-        keys, new = _keys(list(found))
-        keys = keys[new]
-        del new
+        keys = _keys(list(found))[0]
         held_by, chosen, size = [], [], 0
         for i, here in enumerate(np.isin(names, home)):
             s, found[i] = found[i], None

@@ -604,3 +604,41 @@ def test_chunks_and_sets_of_the_join_move_once(spark, monkeypatch):
     assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [(1, 1), (2, 1), (3, 3)]
     assert len(met) > 1 and not any("Exchange" in plan for plan in met)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("lendmart_")]
+
+
+def test_chunks_of_the_join_and_their_counts_take_little_memory():
+    import pandas as pd
+    import pyarrow as pa
+    words = np.random.default_rng(3).integers(0, 2 ** 60, (400, 500))
+    texts = [" ".join(map(str, row)) for row in words]
+    batch = pa.record_batch([pa.array(range(400)), pa.array(range(400)), pa.array(texts)],
+                            names=["doc_id", "t", "text"])
+    chunk, most = peak(lambda: next(jaccard._chunked(5, 150_000)([batch])).to_pylist()[0])
+    assert chunk["n_keys"] == 400 * 496
+    assert most < 150 * chunk["n_keys"]  # 201 with words remembered
+    keys = blobs.unpack_sorted(chunk["keys"])
+    assert (np.diff(keys) > 0).all() and set(blobs.unpack(chunk["times"], np.uint32)) == {1}
+
+    cuts = [keys[:150_000], keys[50_000:]]
+    times = [np.arange(len(k), dtype=np.uint32) % np.uint32(7) + np.uint32(1) for k in cuts]
+    times[0][60_000] = 2 ** 32 - 1  # with the other's, beyond 32 bits
+    asked = pd.DataFrame({"chunk": [1, 2], "keys": [blobs.pack_sorted(k) for k in cuts],
+                          "times": [blobs.pack(x, np.uint32) for x in times]})
+    out, most = peak(lambda: jaccard._answer((0,), asked))
+    assert most < 33 * sum(map(len, cuts))  # 38 with places and float sums
+    want = np.zeros(len(keys), np.uint64)
+    want[:150_000] += times[0]
+    want[50_000:] += times[1]
+    want = np.minimum(want, 2 ** 32 - 1)
+    for got, part in zip(out["sums"], (want[:150_000], want[50_000:])):
+        assert (blobs.unpack(got, np.uint32) == part).all()
+
+
+def test_runs_of_equal_keys(monkeypatch):
+    keys = np.sort(np.random.default_rng(4).integers(0, 50, 1000).astype(np.uint64))
+    want = np.unique(keys, return_counts=True)
+    for part in (1, 7, 1 << 20):  # runs cross the parts
+        monkeypatch.setattr(jaccard, "PART", part)
+        for one, other in zip(jaccard._runs(keys.copy()), want):
+            assert (one == other).all()
+        assert [len(x) for x in jaccard._runs(keys[:0].copy())] == [0, 0]

@@ -1,11 +1,64 @@
-"""Arrays of numbers as compact binary values."""
+"""Arrays of numbers as compact binary values, and the room that tasks leave behind."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 PART = 1 << 20        # values mixed, or bytes of a plane unpacked, at once
+_MMAP_THRESHOLD = -3  # glibc's number of this option
+
+
+@functools.cache
+def _libc():
+    """The C library, if it can hand memory back. Larger blocks are from now on each asked
+    of the system, which gets them again as soon as they are free."""
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "malloc_trim") or not hasattr(libc, "mallopt"):
+        return None
+    libc.mallopt(_MMAP_THRESHOLD, PART)
+    return libc
+
+
+def trim() -> None:
+    """Hand free memory back to the system. A worker serves many tasks, and would keep it
+    beside the memory of those that run next."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
+def lean(run):
+    """A task's function over batches that leaves no free memory with its worker."""
+    def trimmed(batches):
+        trim()
+        yield from run(batches)
+        trim()
+    return trimmed
+
+
+def lean_group(run):
+    """``lean`` for a function of a key and its rows, or of the rows of two sides."""
+    def trimmed(key, rows):
+        _libc()
+        out = run(key, rows)
+        trim()
+        return out
+    return trimmed
+
+
+def lean_cogroup(run):
+    """``lean`` for a function of a key and its rows on both sides."""
+    def trimmed(key, left, right):
+        _libc()
+        out = run(key, left, right)
+        trim()
+        return out
+    return trimmed
 
 
 def pack(values: np.ndarray, dtype) -> bytes:
@@ -52,6 +105,11 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(keys, out=keys)
 
 
+def size_sorted(blob: bytes) -> int:
+    """How many keys ``unpack_sorted`` finds."""
+    return zstandard.frame_content_size(blob) // 8
+
+
 def mix(a: np.ndarray, b) -> np.ndarray:
     """64-bit hash of two arrays of 64-bit hashes, order matters."""
     out = np.empty(len(a), np.uint64)

@@ -24,8 +24,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lendmart.llm.blobs import (mix, pack, pack_counts, pack_sorted, places, unpack,
-                                unpack_counts, unpack_sorted)
+from lendmart.llm.blobs import (lean, lean_cogroup, lean_group, mix, pack, pack_counts,
+                                pack_sorted, places, unpack, unpack_counts, unpack_sorted)
 from lendmart.llm.common import release, remainder, table, whole
 from lendmart.sources.snapshots import stage
 
@@ -33,6 +33,7 @@ ORDER = 2
 CHUNK_TOKENS = 2_000_000
 RANGE_GRAMS = 1_000_000   # n-grams a range of hashes adds up, about
 BUCKETS, STEPS = 24, 12
+ROWS = 500                # documents that a task has as Python texts at once
 SLICE = 200_000           # positions whose probabilities are computed at once
 KEPT, DELETED, HELD_OUT = 0, 1, 2
 NO_ID = 4                 # added to the fold of a row without an id
@@ -78,8 +79,9 @@ def _chunks(limit: int, order: int):
 
     def run(batches):
         ids, folds, tokens, numbers, n, part = [], [], [], _Numbers(), 0, 0
-        for batch in batches:
-            for doc, text, fold in zip(*(c.to_pylist() for c in batch.columns)):
+        parts = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        for part in parts:
+            for doc, text, fold in zip(*(c.to_pylist() for c in part.columns)):
                 own = np.fromiter(map(numbers.__getitem__, words(text)), np.uint32)
                 ids.append(doc)
                 folds.append(fold)
@@ -273,7 +275,7 @@ def learn(counted: DataFrame, order: int, kept: int, uniform: float,
                             *[f"y{k}" for k in range(2, order + 1)])
     for _ in range(steps):
         sums = wanted.mapInPandas(
-            _expectation(order, weights, kept, uniform),
+            lean(_expectation(order, weights, kept, uniform)),
             "k int, bucket int, uses double, chances double").groupBy("k", "bucket").agg(
                 F.sum("uses").alias("uses"), F.sum("chances").alias("chances")).collect()
         old = weights.copy()
@@ -318,27 +320,29 @@ def score(df: DataFrame, fold, order: int = ORDER, doc_id: str = "doc_id", text:
     """
     chunks = stage(df.select(F.col(doc_id).cast("long").alias("id"), whole(text).alias("text"),
                              fold.cast("int").alias("fold"))
-                   .mapInArrow(_chunks(chunk_tokens, order), CHUNK))
+                   .mapInArrow(lean(_chunks(chunk_tokens, order)), CHUNK))
     totals = df.agg(F.count_if(fold != HELD_OUT).alias("docs"),
                     F.count_if(fold == DELETED).alias("lost")).first()
     grams = chunks.agg(F.sum("n_grams")).first()[0] or 0
     ranges = max(1, -(-grams // (RANGE_GRAMS * order)))
-    asked = chunks.mapInPandas(_asked(order, ranges), "range int, chunk long, keys binary, "
-                                                      "kept binary, deleted binary")
+    asked = chunks.mapInPandas(lean(_asked(order, ranges)),
+                               "range int, chunk long, keys binary, kept binary, deleted binary")
     answers = stage(asked.groupBy("range").applyInPandas(
-        _answer(order), "chunk long, order int, range int, kept binary, deleted binary, "
-                        "types long, tokens long, lost long"))
+        lean_group(_answer(order)), "chunk long, order int, range int, kept binary, "
+                                    "deleted binary, types long, tokens long, lost long"))
     sums = answers.agg(F.sum("types"), F.sum("tokens"), F.sum("lost")).first()
     types, tokens, lost = (int(x or 0) for x in sums)
     release(df.sparkSession)
     fields = [f"{c}{k} binary" for k in range(1, order + 1) for c in "nm"]
     fields += [f"{c}{k} binary" for k in range(2, order + 1) for c in "xy"]
     counted = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _counted(order, totals["docs"], totals["lost"]),
+        lean_cogroup(_counted(order, totals["docs"], totals["lost"])),
         "ids binary, folds binary, sizes binary, " + ", ".join(fields)))
     weights = learn(counted, order, tokens - lost, 1 / (types + 1))
-    return counted.mapInPandas(
-        _scored(order, weights, tokens, types),
+    wanted = counted.select("ids", "folds", "sizes", *[f"n{k}" for k in range(1, order + 1)],
+                            *[f"x{k}" for k in range(2, order + 1)])
+    return wanted.mapInPandas(
+        lean(_scored(order, weights, tokens, types)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double")
 

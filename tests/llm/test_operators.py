@@ -1,6 +1,7 @@
 """Operators against plain versions: on the smallest tables and on awkward rows."""
 
 import math
+import os
 import re
 import tracemalloc
 import zlib
@@ -570,6 +571,37 @@ def test_arrays_are_unpacked_and_placed_in_little_memory():
     assert [len(x) for x in blobs.places(values[:0])] == [0, 0]
 
 
+def test_tasks_leave_no_free_memory_behind():
+    if blobs._libc() is None:
+        pytest.skip("this C library keeps what is free")
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    def fill(n):
+        held = [np.ones(2000, np.uint8) for _ in range(n)]
+        kept.append(held[-1])  # above the others: they stay with the process
+        return n
+
+    kept, start = [], resident()
+    assert list(blobs.lean(lambda batches: map(fill, batches))([50_000])) == [50_000]
+    assert resident() - start < 50e6  # 100 MB without
+    assert blobs.lean_group(lambda key, rows: fill(rows))(0, 50_000) == 50_000
+    assert blobs.lean_cogroup(lambda key, left, right: fill(left))(0, 50_000, 1) == 50_000
+    assert resident() - start < 50e6
+
+
+def test_chunks_of_the_language_model_read_few_texts_at_once():
+    import pyarrow as pa
+    n = 10 * lm.ROWS
+    batch = pa.record_batch([pa.array(range(n)), pa.array(["x" * 4000] * n),
+                             pa.array(np.zeros(n, np.int32))], names=["id", "text", "fold"])
+    chunk, most = peak(lambda: next(lm._chunks(10 ** 9, 2)([batch])).to_pylist()[0])
+    assert blobs.unpack(chunk["sizes"], np.uint32).tolist() == [2] * n
+    assert most < batch.nbytes / 2
+
+
 def test_grams_of_a_chunk_take_little_memory():
     rng = np.random.default_rng(2)
     tokens = rng.integers(0, 5000, 400_000).astype(np.uint32)

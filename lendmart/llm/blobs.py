@@ -105,11 +105,6 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(keys, out=keys)
 
 
-def size_sorted(blob: bytes) -> int:
-    """How many keys ``unpack_sorted`` finds."""
-    return zstandard.frame_content_size(blob) // 8
-
-
 def mix(a: np.ndarray, b) -> np.ndarray:
     """64-bit hash of two arrays of 64-bit hashes, order matters."""
     out = np.empty(len(a), np.uint64)

@@ -45,7 +45,8 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lendmart.llm.blobs import PART, mix, pack, pack_sorted, unpack, unpack_sorted
+from lendmart.llm.blobs import (PART, lean, lean_group, mix, pack, pack_sorted, unpack,
+                                unpack_sorted)
 from lendmart.llm.common import release, table, whole
 from lendmart.llm.graph import components
 from lendmart.sources.snapshots import bucketed, stage
@@ -335,7 +336,7 @@ def measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("class").alias("a"), F.col("set").alias("a_set"))
     right = sets.select(F.col("class").alias("b"), F.col("set").alias("b_set"))
     return stage(pairs.join(right, "b").join(left, "a").select("a", "b", "a_set", "b_set")
-                 .mapInArrow(_shared, "a long, b long, both long, either long"))
+                 .mapInArrow(lean(_shared), "a long, b long, both long, either long"))
 
 
 def _linked(percent: int):
@@ -475,15 +476,15 @@ def regions(chunks: DataFrame, rows: DataFrame, n: int,
     total = chunks.agg(F.sum("n_keys")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_KEYS))
     sums = chunks.filter("n_keys > 0").select("chunk", "keys", "times").mapInArrow(
-        _asked(ranges), "range int, chunk long, keys binary, times binary").groupBy(
-            "range").applyInPandas(_answer, "chunk long, range int, sums binary")
+        lean(_asked(ranges)), "range int, chunk long, keys binary, times binary").groupBy(
+            "range").applyInPandas(lean_group(_answer), "chunk long, range int, sums binary")
     homes = rows.filter("n > 0").groupBy("class").agg(F.min("chunk").alias("chunk")).groupBy(
         "chunk").agg(F.collect_list("class").alias("home"))
     answers = sums.unionByName(homes, allowMissingColumns=True)
     bits = ", ".join(f"{w} long" for w in BITS)
     able = stage(chunks.filter("n_keys > 0").select("chunk", "own", "lengths", "texts")
                  .groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-                     _members(n, percent),
+                     lean_group(_members(n, percent)),
                      f"class long, n long, pivots array<long>, set binary, {bits}"))
     rows = able.select(F.explode("pivots").alias("pivot"), "class", "n")
     for _ in range(2):  # a region that a leaving set empties may let others leave
@@ -510,9 +511,9 @@ def link_classes(df: DataFrame, n: int = SHINGLE, percent: int = PERCENT, doc_id
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"),
                      F.xxhash64(whole(text)).alias("t"), whole(text).alias("text"))
     # a row is a file's worth: written by buckets, chunks meet their answers without a shuffle
-    chunks = bucketed(docs.mapInArrow(_chunked(n, CHUNK_KEYS), CHUNK), "chunk")
+    chunks = bucketed(docs.mapInArrow(lean(_chunked(n, CHUNK_KEYS)), CHUNK), "chunk")
     rows = stage(chunks.select("chunk", "ids", "absent", "t", "classes", "n").mapInArrow(
-        _opened, "chunk long, doc_id long, t long, class long, n long"))
+        lean(_opened), "chunk long, doc_id long, t long, class long, n long"))
     members, sets = regions(chunks, rows, n, percent)
     members = stage(members.join(sets.select("class", *BITS), "class"))
     release(spark)

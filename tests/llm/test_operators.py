@@ -592,6 +592,24 @@ def test_tasks_leave_no_free_memory_behind():
     assert resident() - start < 50e6
 
 
+def test_tasks_of_the_join_and_the_language_model_are_lean(spark, monkeypatch, awkward):
+    def noted(wrap):
+        def lean(run):
+            names.append(run.__qualname__.split(".")[0])
+            return wrap(run)
+        return lean
+
+    names = []
+    for module, wraps in ((jaccard, ("lean", "lean_group")),
+                          (lm, ("lean", "lean_group", "lean_cogroup"))):
+        for wrap in wraps:
+            monkeypatch.setattr(module, wrap, noted(getattr(module, wrap)))
+    assert jaccard.join_groups(awkward).count() == lm.score(awkward, F.lit(0)).count()
+    assert {"_chunked", "_opened", "_members", "_shared", "_chunks", "_counted", "_expectation",
+            "_scored"} <= set(names)
+    assert names.count("_asked") == names.count("_answer") == 2
+
+
 def test_chunks_of_the_language_model_read_few_texts_at_once():
     import pyarrow as pa
     n = 10 * lm.ROWS

@@ -193,7 +193,7 @@ def training_matrix(mart: Mart, as_of) -> tuple[DataFrame, matrix.MatrixState, D
 
 
 def train_month(mart: Mart, snapshot_date, grids: dict[str, list[dict]] | None = None,
-                folds: int = 3, parallelism: int = 2) -> DataFrame | None:
+                folds: int = 3, parallelism: int | None = None) -> DataFrame | None:
     """Train the candidates, keep the champion by out-of-time Gini, register it, and
     store its drift baseline. Does nothing for a month without features. Returns the
     metrics table."""
